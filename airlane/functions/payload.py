@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What a string's ends may be trimmed of: every Unicode white-space character.
@@ -22,34 +22,57 @@ def decode_text(value: Column) -> Column:
     return F.try_validate_utf8(value.cast("string"))
 
 
-def strict_document(text: Column) -> Column:
-    """A one-element VARIANT array holding the parsed text; null unless it is one JSON object.
+def with_document(rows: DataFrame, text: Column, name: str = "_doc") -> DataFrame:
+    """Add a one-element VARIANT array holding the parsed text; null unless one JSON object.
 
     ``try_parse_json`` ignores whatever follows the first value. Wrapping the text in
     brackets turns trailing data into a syntax error or a second element. What is left is
     text that closes the bracket itself (``{..}] x``): only where ``}]`` occurs at all is
     the text parsed a second time inside an object, where a bracket cannot close anything.
+
+    Text and parse are columns of their own steps, so each is computed once per row.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    closes_bracket = text.rlike(r"\}\s*\]")
-    inner = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    is_object = F.ltrim(F.ltrim(text), F.lit("\t\r\n ")).startswith("{")
-    return F.when(
-        is_object
-        & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-        & (~closes_bracket | inner.isNotNull()),
-        wrapped,
+    column, body, tail = F.col(name), F.col("_text"), F.col("_tail_ok")
+    wrapped = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    inner = F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}")))
+    return (
+        rows.withColumn("_text", text)
+        .withColumns(
+            {
+                name: F.when(F.ltrim(body, F.lit(" \t\r\n")).startswith("{"), wrapped),
+                # Most documents have no bracket at all; the pattern runs on the others.
+                "_tail_ok": ~body.contains("]") | ~body.rlike(r"\}\s*\]") | inner.isNotNull(),
+            }
+        )
+        .withColumn(
+            name,
+            F.when(tail & F.try_variant_get(column, "$[1]", "variant").isNull(), column),
+        )
+        .drop("_text", "_tail_ok")
     )
 
 
 def member(doc: Column, name: str, kind: str = "variant") -> Column:
-    """Member of a document from :func:`strict_document`; null when absent or not castable."""
+    """Member of a document from :func:`with_document`; null when absent or not castable."""
     return F.try_variant_get(doc, f"$[0].{name}", kind)
 
 
+def numeric(type_name: Column) -> Column:
+    """Whether a VARIANT type name is that of a JSON number."""
+    return type_name.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+
+
+def number(v: Column, type_name: Column) -> Column:
+    """A JSON number as a double, null for other types.
+
+    Read through its text: casting inside ``try_variant_get`` builds a cast per value.
+    """
+    return F.when(numeric(type_name), F.to_json(v).try_cast("double"))
+
+
 def is_number(v: Column) -> Column:
     """True for JSON numbers only: not booleans, not numeric strings."""
-    return F.coalesce(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False))
+    return F.coalesce(numeric(F.schema_of_variant(v)), F.lit(False))
 
 
 def is_string(v: Column) -> Column:

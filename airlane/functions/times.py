@@ -1,4 +1,8 @@
-"""Timestamps: UTC, millisecond precision, independent of the session zone."""
+"""Timestamps: UTC wall time at millisecond precision.
+
+Conversions between instants and wall time use the session zone, which ``configure`` sets
+to UTC.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +13,20 @@ from pyspark.sql import functions as F
 
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
-#: What an extended ISO-8601 date or date-time may look like once basic forms are widened.
+#: Extended ISO-8601 date or date-time that a cast to TIMESTAMP reads as is.
 _ISO_SHAPE = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}"
-    r"(T\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?([+-]\d{2}(:\d{2})?)?)?$"
+    r"(T\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?(Z|[+-]\d{2}(:\d{2})?)?)?\z"
+)
+
+#: Rewrites of other accepted spellings (basic forms, odd separators) to the extended form.
+_ISO_REWRITES = (
+    (r"^(\d{4})(\d{2})(\d{2})(?=\D|\z)", "$1-$2-$3"),
+    (r"^(.{10})(?s:.)", "$1T"),
+    (r"T(\d{2})(\d{2})(?=\d{2}|[Z+-]|\z)", "T$1:$2"),
+    (r"(T\d{2}:\d{2})(\d{2})", "$1:$2"),
+    (r"(T\d{2}:\d{2}:\d{2}),", "$1."),
+    (r"(T.*[+-]\d{2})(\d{2})\z", "$1:$2"),
 )
 
 
@@ -39,17 +53,12 @@ def seconds(n) -> Column:
 
 def from_millis(ms: Column) -> Column:
     """Epoch milliseconds as UTC wall time."""
-    return F.timestamp_add("MILLISECOND", ms, F.expr(EPOCH))
+    return F.timestamp_millis(ms).cast("timestamp_ntz")
 
 
 def to_millis(ts: Column) -> Column:
     """UTC wall time as epoch milliseconds."""
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), ts)
-
-
-def to_micros(ts: Column) -> Column:
-    """UTC wall time as epoch microseconds."""
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), ts)
+    return F.unix_millis(ts.cast("timestamp"))
 
 
 def from_epoch_seconds(value: Column) -> Column:
@@ -59,10 +68,6 @@ def from_epoch_seconds(value: Column) -> Column:
 
 def instant_to_utc(ts: Column) -> Column:
     """A ``TIMESTAMP`` instant as UTC wall time, cut to milliseconds."""
-    return from_millis(F.unix_millis(ts))
-
-
-def truncate_ms(ts: Column) -> Column:
     return F.date_trunc("MILLISECOND", ts).cast("timestamp_ntz")
 
 
@@ -72,38 +77,22 @@ def iso_utc(ts: Column) -> Column:
 
 
 def _widen(text: Column) -> Column:
-    """Rewrite basic dates/times (``20240101T000000``) and odd separators to extended form."""
-    dated = F.when(
-        text.rlike(r"^\d{8}"), F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
-    ).otherwise(text)
-    # Any single character may separate date and time.
-    joined = F.when(
-        F.length(dated) > 10, F.concat(F.substr(dated, F.lit(1), F.lit(10)), F.lit("T"),
-                                       F.substr(dated, F.lit(12)))
-    ).otherwise(dated)
-    timed = F.when(
-        joined.rlike(r"T\d{4}"),
-        F.regexp_replace(joined, r"T(\d{2})(\d{2})(\d{2})?", "T$1:$2:$3"),
-    ).otherwise(joined)
-    tidy = F.regexp_replace(timed, r":(?=$|[+-])", "")  # no seconds given
-    zoned = F.regexp_replace(tidy, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2")
-    return F.regexp_replace(zoned, r"(:\d{2}),(\d)", "$1.$2")
+    for pattern, replacement in _ISO_REWRITES:
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
 
 
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to UTC wall time at millisecond precision; null when malformed.
 
-    Text without an offset is read as UTC. The common extended form takes one
-    pattern test and one cast; only other spellings pass through the rewriting.
+    Text without an offset is read as UTC, which is the session zone ``configure`` sets.
+    The common extended form takes one pattern test and one cast; only other spellings
+    pass through the rewriting.
     """
-    zulu = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    shaped = F.when(zulu.rlike(_ISO_SHAPE), zulu).otherwise(_widen(zulu))
-    anchored = F.when(
-        shaped.rlike(r"T.*[+-]\d{2}(:\d{2})?$"), shaped
-    ).when(
-        shaped.contains("T"), F.concat(shaped, F.lit("+00:00"))
-    ).otherwise(F.concat(shaped, F.lit("T00:00:00+00:00")))
-    return F.when(shaped.rlike(_ISO_SHAPE), instant_to_utc(anchored.try_cast("timestamp")))
+    def read(candidate: Column) -> Column:
+        return F.when(candidate.rlike(_ISO_SHAPE), candidate.try_cast("timestamp"))
+
+    return instant_to_utc(F.coalesce(read(text), read(_widen(text))))
 
 
 def timestamp_seconds_between(start: Column, end: Column) -> Column:

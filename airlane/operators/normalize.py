@@ -36,8 +36,8 @@ SOURCE_NAME = "opensky"
 
 
 def _number(name: str, kind: str = "double") -> Column:
-    index = STATE_INDEX[name]
-    return F.when(payload.is_number(element(index)), element(index, kind))
+    value = element(STATE_INDEX[name])
+    return payload.number(value, F.schema_of_variant(value)).cast(kind)
 
 
 def _flag(name: str) -> Column:

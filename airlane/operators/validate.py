@@ -33,85 +33,116 @@ ERROR_MESSAGES = {
 _DOC = F.col("_doc")
 
 
-def _member(name: str, kind: str = "variant") -> Column:
-    return payload.member(_DOC, name, kind)
+#: Members of the typed event, fetched from the document in one pass.
+_MEMBERS = "struct<" + ",".join(f"`{f.name}` variant" for f in EVENT_SCHEMA) + ",`_id` variant>"
+
+
+def _member(name: str, kind: str | None = None) -> Column:
+    value = F.col(f"_members.{name}")
+    return value if kind is None else F.try_variant_get(value, "$", kind)
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Messages plus the parsed document ``_doc`` (null when it is not one JSON object).
+    """Messages plus ``_doc`` (null when the value is not one JSON object) and ``_members``."""
+    parsed = payload.with_document(messages, payload.decode_text(F.col("value")))
+    return parsed.withColumn("_members", F.try_variant_get(_DOC, "$[0]", _MEMBERS))
+
+
+def _once(*columns: Column) -> Column:
+    """The columns as one generated struct.
 
-    The one-element ``explode`` keeps later filters above the parse: without it Catalyst
-    would copy the parse into the filter and run it twice per message.
+    Catalyst copies a projected expression into every filter pushed below it; it cannot
+    push a filter below a generator. Values computed here are computed once per message.
     """
-    doc = payload.strict_document(payload.decode_text(F.col("value")))
-    return messages.select("*", F.explode(F.array(doc)).alias("_doc"))
+    return F.inline(F.array(F.struct(*columns)))
 
 
-def canonical_uuid(text: Column) -> Column:
-    """Lower-case hyphenated UUID from its usual spellings; null when it is not one."""
+def uuid_digits(text: Column) -> Column:
+    """A UUID's usual spellings without prefix, braces and hyphens, in lower case."""
     bare = F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
-    digits = F.lower(F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit("")))
+    return F.lower(F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit("")))
+
+
+def canonical_uuid(digits: Column) -> Column:
+    """Hyphenated UUID from its digits; null unless there are 32 hexadecimal ones."""
     cut = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     parts = [F.substr(digits, F.lit(start), F.lit(size)) for start, size in cut]
     return F.when(digits.rlike(r"^[0-9a-f]{32}\z"), F.concat_ws("-", *parts))
 
 
-def _coordinate_ok(name: str, limit: float) -> Column:
-    return payload.is_number(_member(name)) & F.coalesce(
-        _member(name, "double").between(-limit, limit), F.lit(False)
-    )
-
-
-def _time(name: str) -> Column:
-    return F.when(payload.is_string(_member(name)), times.parse_iso(_member(name, "string")))
+#: Members that rules look at; each is fetched and its JSON type taken once.
+_RULED = ("icao24", "latitude", "longitude", "observed_at", "ingested_at", "schema_version",
+          "event_id", "on_ground")
 
 
-def _one_or_absent() -> Column:
-    """True and 1 both equal the supported version; an explicit null does not."""
-    version = _member("schema_version")
-    number = payload.is_number(version) & (_member("schema_version", "double") == SCHEMA_VERSION)
-    true = payload.is_boolean(version) & _member("schema_version", "boolean")
-    return version.isNull() | F.coalesce(number, F.lit(False)) | F.coalesce(true, F.lit(False))
+def _type(name: str) -> Column:
+    """JSON type of a ruled member: null when absent, VOID for an explicit null."""
+    return F.col(f"_{name}_type")
 
 
-def _ground_state_ok() -> Column:
-    """Booleans and null; 0 and 1 compare equal to booleans and pass as unknown state."""
-    state = _member("on_ground")
-    bit = payload.is_number(state) & _member("on_ground", "double").isin(0.0, 1.0)
+def _inspect(parsed: DataFrame) -> DataFrame:
+    """Ruled members and their typed readings, step by step so that none is computed twice."""
+    text = {n: F.when(_type(n) == "STRING", _member(n, "string"))
+            for n in ("observed_at", "ingested_at", "event_id")}
     return (
-        state.isNull()
-        | payload.is_json_null(state)
-        | payload.is_boolean(state)
-        | F.coalesce(bit, F.lit(False))
+        parsed.withColumns({f"_{n}_type": F.schema_of_variant(_member(n)) for n in _RULED})
+        .withColumns(
+            {
+                # A whole JSON number counts as its digits; nothing else is text.
+                "_address": F.when(
+                    _type("icao24").isin("STRING", "BIGINT"), F.lower(_member("icao24", "string"))
+                ),
+                "_lat": payload.number(_member("latitude"), _type("latitude")),
+                "_lon": payload.number(_member("longitude"), _type("longitude")),
+                "_observed_text": text["observed_at"],
+                "_ingested_text": text["ingested_at"],
+                "_digits": uuid_digits(text["event_id"]),
+            }
+        )
+        .withColumns(
+            {
+                "_observed": times.parse_iso(F.col("_observed_text")),
+                "_ingested": times.parse_iso(F.col("_ingested_text")),
+                "_uuid": canonical_uuid(F.col("_digits")),
+            }
+        )
     )
 
 
-def _icao24() -> Column:
-    """Address text; a whole JSON number counts as its digits, nothing else is text."""
-    kind = F.schema_of_variant(_member("icao24"))
-    return F.when(kind.isin("STRING", "BIGINT"), F.lower(_member("icao24", "string")))
+def _absent(name: str) -> Column:
+    return _type(name).isNull()
+
+
+def _equals(name: str, *numbers: float) -> Column:
+    return payload.number(_member(name), _type(name)).isin(*numbers)
 
 
 def error_code() -> Column:
-    """First failing rule over ``_doc`` and the parsed times, or null."""
-    ingested = _member("ingested_at")
-    identity = _member("event_id")
+    """First failing rule over the inspected columns, or null."""
+    version, ground = "schema_version", "on_ground"
     rules = [
         ("payload", _DOC.isNotNull()),
-        ("icao24", F.col("icao24").rlike(ICAO24_PATTERN)),
-        ("latitude", _coordinate_ok("latitude", LATITUDE_LIMIT)),
-        ("longitude", _coordinate_ok("longitude", LONGITUDE_LIMIT)),
-        ("observed_at", F.col("observed_at").isNotNull()),
+        ("icao24", F.col("_address").rlike(ICAO24_PATTERN)),
+        ("latitude", F.col("_lat").between(-LATITUDE_LIMIT, LATITUDE_LIMIT)),
+        ("longitude", F.col("_lon").between(-LONGITUDE_LIMIT, LONGITUDE_LIMIT)),
+        ("observed_at", F.col("_observed").isNotNull()),
         (
             "ingested_at",
-            ingested.isNull() | payload.is_json_null(ingested) | F.col("_ingested").isNotNull(),
+            _absent("ingested_at") | (_type("ingested_at") == "VOID")
+            | F.col("_ingested").isNotNull(),
+        ),
+        # True and 1 both equal the supported version; an explicit null does not.
+        (
+            "schema_version",
+            _absent(version) | _equals(version, SCHEMA_VERSION)
+            | ((_type(version) == "BOOLEAN") & _member(version, "boolean")),
         ),
-        ("schema_version", _one_or_absent()),
+        ("event_id", _absent("event_id") | F.col("_uuid").isNotNull()),
+        # 0 and 1 compare equal to booleans and pass as unknown state.
         (
-            "event_id",
-            identity.isNull() | (payload.is_string(identity) & F.col("event_id").isNotNull()),
+            "on_ground",
+            _absent(ground) | _type(ground).isin("BOOLEAN", "VOID") | _equals(ground, 0.0, 1.0),
         ),
-        ("on_ground", _ground_state_ok()),
     ]
     code = F
     for name, passes in rules:
@@ -126,9 +157,7 @@ def _typed(field: T.StructField) -> Column:
         return _member(field.name, "string")
     if isinstance(field.dataType, T.BooleanType):
         return F.when(payload.is_boolean(value), _member(field.name, "boolean"))
-    return F.when(
-        payload.is_number(value), _member(field.name, field.dataType.simpleString())
-    )
+    return payload.number(value, F.schema_of_variant(value)).cast(field.dataType)
 
 
 def _other_members() -> Column:
@@ -149,35 +178,29 @@ def validate(messages: DataFrame, as_of) -> DataFrame:
     members) and ``error_code``. ``as_of`` stands in for a missing ``ingested_at``.
     """
     derived = {
-        "icao24": F.col("icao24"),
-        "observed_at": F.col("observed_at"),
-        "event_id": F.col("event_id"),
+        "icao24": F.col("_address"),
+        "latitude": F.col("_lat"),
+        "longitude": F.col("_lon"),
+        "observed_at": F.col("_observed"),
+        "event_id": F.col("_uuid"),
         "ingested_at": F.coalesce(F.col("_ingested"), times.as_of_column(as_of)),
     }
-    events = [
-        derived.get(f.name, _typed(f)).alias(f.name) for f in EVENT_SCHEMA
-    ]
+    events = [derived.get(f.name, _typed(f)).alias(f.name) for f in EVENT_SCHEMA]
     present = F.struct(*(_member(name).isNotNull().alias(name) for name in OPTIONAL_FIELDS))
-    return (
-        decode(messages)
-        .select(
-            "key", "value", "timestamp", "timestampType", "headers", "_doc",
-            F.col("topic").alias("kafka_topic"),
-            F.col("partition").alias("kafka_partition"),
-            F.col("offset").alias("kafka_offset"),
-            _icao24().alias("icao24"),
-            _time("observed_at").alias("observed_at"),
-            _time("ingested_at").alias("_ingested"),
-            canonical_uuid(_member("event_id", "string")).alias("event_id"),
-        )
-        .select(
-            "key", "value", "timestamp", "timestampType", "headers",
-            "kafka_topic", "kafka_partition", "kafka_offset",
-            *events,
-            present.alias("present"),
-            _other_members().alias("extra"),
-            error_code().alias("error_code"),
-        )
+    kept = ("_doc", "_members", "_address", "_lat", "_lon", "_observed", "_ingested", "_uuid")
+    checked = _inspect(decode(messages)).select(
+        *messages.columns,
+        _once(*(F.col(c).alias(c) for c in kept), error_code().alias("error_code")),
+    )
+    return checked.select(
+        "key", "value", "timestamp", "timestampType", "headers",
+        F.col("topic").alias("kafka_topic"),
+        F.col("partition").alias("kafka_partition"),
+        F.col("offset").alias("kafka_offset"),
+        *events,
+        present.alias("present"),
+        _other_members().alias("extra"),
+        "error_code",
     )
 
 
@@ -200,16 +223,29 @@ def realtime_events(messages: DataFrame) -> DataFrame:
     """
     fields = []
     for f in EVENT_SCHEMA:
-        column = _time(f.name) if isinstance(f.dataType, T.TimestampNTZType) else _typed(f)
+        is_time = isinstance(f.dataType, T.TimestampNTZType)
+        column = F.col(f"_{f.name}") if is_time else _typed(f)
         fields.append(column.alias(f.name))
     own_id = F.when(payload.is_truthy(_member("_id")), _member("_id", "string"))
-    return decode(messages).select(
+    skipped = ~payload.is_truthy(_member("icao24"))
+    times_read = {
+        f"_{n}": times.parse_iso(F.col(f"_{n}_text")) for n in ("observed_at", "ingested_at")
+    }
+    texts = {
+        f"_{n}_text": F.when(payload.is_string(_member(n)), _member(n, "string"))
+        for n in ("observed_at", "ingested_at")
+    }
+    parsed = decode(messages).select(
+        *messages.columns,
+        _once(F.col("_members").alias("_members"), skipped.alias("skipped")),
+    )
+    return parsed.withColumns(texts).withColumns(times_read).select(
         F.coalesce(own_id, _member("icao24", "string"), F.lit("")).alias("_id"),
         *fields,
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        (~payload.is_truthy(_member("icao24"))).alias("skipped"),
+        "skipped",
     )
 
 

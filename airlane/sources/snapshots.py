@@ -28,11 +28,11 @@ def explode_states(snapshots: DataFrame, value: str = "value", strict: bool = Tr
     fails the job when ``strict``; otherwise such payloads are left out here and can be
     counted with :func:`malformed_snapshots`.
     """
-    doc = payload.strict_document(F.col(value))
+    parsed = payload.with_document(snapshots.select(F.col(value).alias("_value")), F.col("_value"))
     if strict:
         problem = F.raise_error(F.lit("snapshot payload is not a JSON object"))
-        doc = F.coalesce(doc, problem.cast("variant"))
-    return snapshots.select(doc.alias("_doc")).select(
+        parsed = parsed.select(F.coalesce("_doc", problem.cast("variant")).alias("_doc"))
+    return parsed.select(
         payload.member(F.col("_doc"), "time", "bigint").alias("api_time"),
         F.posexplode(payload.member(F.col("_doc"), "states", "array<variant>")).alias(
             "position", "state"
@@ -41,7 +41,8 @@ def explode_states(snapshots: DataFrame, value: str = "value", strict: bool = Tr
 
 
 def malformed_snapshots(snapshots: DataFrame, value: str = "value") -> DataFrame:
-    return snapshots.where(payload.strict_document(F.col(value)).isNull())
+    """The payloads that are not one JSON object."""
+    return payload.with_document(snapshots, F.col(value)).where(F.col("_doc").isNull()).drop("_doc")
 
 
 def element(index: int, kind: str = "variant") -> Column:
