@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlane.operators.deadletter import log_identity
+from airlane.operators.latest import ARRIVAL
 from airlane.operators.sequence import OFFSETS_PER_CHUNK, offset_chunk, running_before
 
-ARRIVAL = ("kafka_partition", "kafka_offset")
-
 
 def event_identity() -> Column:
     """The event's own id, or its log coordinates."""

@@ -12,6 +12,7 @@ from airlane.operators.sequence import OFFSETS_PER_CHUNK, offset_chunk, running_
 from airlane.schemas import LOG_FIELDS, OPTIONAL_FIELDS
 
 KEY = "icao24"
+ARRIVAL = ("kafka_partition", "kafka_offset")
 
 
 def recency(tie: str) -> Column:
@@ -58,15 +59,23 @@ def live(events: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return latest(events.drop("_id"), "first", kept).withColumn("_id", F.col(KEY))
 
 
-def accepted(events: DataFrame, chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
-    """Events that replaced the live state on arrival: strictly newer than all before them."""
-    chunked = events.withColumn("_chunk", offset_chunk(F.col("kafka_offset"), chunk_size))
+def accepted(
+    events: DataFrame,
+    chunk_size: int = OFFSETS_PER_CHUNK,
+    arrival: Sequence[str] = ARRIVAL,
+) -> DataFrame:
+    """Events that replaced the live state on arrival: strictly newer than all before them.
+
+    ``arrival`` names the columns of arrival order, the offset last.
+    """
+    *places, offset = arrival
+    chunked = events.withColumn("_chunk", offset_chunk(F.col(offset), chunk_size))
     return (
         running_before(
             chunked,
             keys=[KEY],
-            chunk=["kafka_partition", "_chunk"],
-            order=["kafka_partition", "kafka_offset"],
+            chunk=[*places, "_chunk"],
+            order=list(arrival),
             value=F.col("observed_at"),
             aggregate=F.max,
             name="_newest",
@@ -80,13 +89,14 @@ def live_merged(
     events: DataFrame,
     fields: Sequence[str] = OPTIONAL_FIELDS,
     chunk_size: int = OFFSETS_PER_CHUNK,
+    arrival: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
     """Live table by document merge.
 
     An accepted event overrides exactly the members it carries: an explicit null
     overwrites, an absent member keeps the earlier value. ``present`` tells the two apart.
     """
-    rows = accepted(events, chunk_size)
+    rows = accepted(events, chunk_size, arrival)
     newest = F.col("observed_at")
     always = ["longitude", "latitude", "ingested_at", *(name for name, _ in LOG_FIELDS)]
     merged = rows.groupBy(KEY).agg(
@@ -100,6 +110,22 @@ def live_merged(
     return merged.withColumn("_id", F.col(KEY))
 
 
+def merge_into(live_table: DataFrame, events: DataFrame,
+               chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
+    """Live table after a further batch of events, under the document-merge rule.
+
+    The stored row counts as one event that precedes the batch and carries every member.
+    """
+    carried = F.struct(*(F.lit(True).alias(name) for name in OPTIONAL_FIELDS))
+    columns = [c for c in live_table.columns if c != "_id"]
+    before = live_table.select(*columns, carried.alias("present"), F.lit(0).alias("_turn"))
+    batch = events.select(*columns, "present", F.lit(1).alias("_turn"))
+    merged = live_merged(
+        before.unionByName(batch), chunk_size=chunk_size, arrival=("_turn", *ARRIVAL)
+    )
+    return merged.select(*live_table.columns)
+
+
 def merged_extra(events: DataFrame, chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
     """Members outside the typed event under the same merge rule, as ``extra`` maps."""
     members = accepted(events, chunk_size).select(

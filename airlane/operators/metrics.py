@@ -20,8 +20,8 @@ INFINITY_LABEL = "+Inf"
 
 
 def series_key() -> Column:
-    """Series identity: label entries in name order as text."""
-    return F.to_json(F.sort_array(F.map_entries("labels")))
+    """Series identity: label entries in name order."""
+    return F.sort_array(F.map_entries("labels"))
 
 
 def select_series(samples: DataFrame, metric: str, equals: dict[str, str] | None = None,
@@ -65,19 +65,21 @@ def by_label(rows: DataFrame, labels: Sequence[str], aggregate, value: str = "va
     return rows.groupBy(*keys).agg(aggregate(value).alias(value))
 
 
-def increases(samples: DataFrame, window_minutes: int = 5,
-              value: str = "value") -> DataFrame:
+def increases(samples: DataFrame, window_minutes: int = 5, value: str = "value",
+              windows_per_chunk: int = 72) -> DataFrame:
     """Counter growth per series and tumbling window, counting a drop as a restart from zero.
 
     Growth between two samples belongs to the window of the later one, so window values
     add up to the whole growth. Rates divide by the window length; nothing is extrapolated
-    to the window edges.
+    to the window edges. A series is worked on in chunks of ``windows_per_chunk`` windows.
     """
     seconds = window_minutes * 60
     slot = F.floor(times.to_millis(F.col("ts")) / (seconds * 1000)).cast("bigint")
-    rows = samples.withColumns({"_series": series_key(), "_slot": slot})
+    rows = samples.withColumns({"_series": series_key(), "_slot": slot}).withColumn(
+        "_chunk", F.floor(F.col("_slot") / windows_per_chunk).cast("bigint")
+    )
     rows = previous(
-        rows, keys=["metric", "_series"], chunk=["_slot"], order=["ts"],
+        rows, keys=["metric", "_series"], chunk=["_chunk"], order=["ts"],
         fields=[value], name="_before",
     )
     before = F.col(f"_before.{value}")
@@ -85,7 +87,8 @@ def increases(samples: DataFrame, window_minutes: int = 5,
     grown = F.when(F.col("_before").isNull(), F.lit(0.0)).when(now < before, now).otherwise(
         now - before
     )
-    return rows.groupBy("metric", "_series", "_slot").agg(
+    # Grouping by the chunk as well keeps the partitioning of the step before.
+    return rows.groupBy("metric", "_series", "_chunk", "_slot").agg(
         F.any_value("labels").alias("labels"), F.sum(grown).alias("increase")
     ).select(
         "metric",

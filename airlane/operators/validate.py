@@ -30,7 +30,9 @@ ERROR_MESSAGES = {
     "on_ground": "on_ground must be true, false or null",
 }
 
-_DOC = F.col("_doc")
+def _doc() -> Column:
+    return F.col("_doc")
+
 
 
 #: Members of the typed event, fetched from the document in one pass.
@@ -45,7 +47,7 @@ def _member(name: str, kind: str | None = None) -> Column:
 def decode(messages: DataFrame) -> DataFrame:
     """Messages plus ``_doc`` (null when the value is not one JSON object) and ``_members``."""
     parsed = payload.with_document(messages, payload.decode_text(F.col("value")))
-    return parsed.withColumn("_members", F.try_variant_get(_DOC, "$[0]", _MEMBERS))
+    return parsed.withColumn("_members", F.try_variant_get(_doc(), "$[0]", _MEMBERS))
 
 
 def _once(*columns: Column) -> Column:
@@ -121,7 +123,7 @@ def error_code() -> Column:
     """First failing rule over the inspected columns, or null."""
     version, ground = "schema_version", "on_ground"
     rules = [
-        ("payload", _DOC.isNotNull()),
+        ("payload", _doc().isNotNull()),
         ("icao24", F.col("_address").rlike(ICAO24_PATTERN)),
         ("latitude", F.col("_lat").between(-LATITUDE_LIMIT, LATITUDE_LIMIT)),
         ("longitude", F.col("_lon").between(-LONGITUDE_LIMIT, LONGITUDE_LIMIT)),
@@ -162,7 +164,7 @@ def _typed(field: T.StructField) -> Column:
 
 def _other_members() -> Column:
     """Members outside the typed event as a map of JSON text, null when there are none."""
-    members = F.try_variant_get(_DOC, "$[0]", "map<string,variant>")
+    members = F.try_variant_get(_doc(), "$[0]", "map<string,variant>")
     known = [f.name for f in EVENT_SCHEMA]
     other = F.map_filter(members, lambda k, _: ~k.isin(*known))
     return F.when(

@@ -248,7 +248,7 @@ SELECT CAST(1 AS INT) AS schema_version,
        strftime({_AS_OF}, '%Y-%m-%dT%H:%M:%S.%g') || '+00:00' AS failed_at,
        '{views.CONSUMER_GROUP}' AS consumer_group, CAST(1 AS INT) AS attempts,
        'permanent' AS classification, kafka_offset AS source_offset,
-       CAST(epoch_ms(ts) AS BIGINT) AS timestamp_ms,
+       CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp_ms,
        base64(encode(icao24)) AS key_base64, 'trace-id' AS header_name,
        base64(encode(CAST(n AS VARCHAR))) AS header_value,
        'base64' AS payload_encoding,

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlane.sources.tables import spread
+
 TOPIC = "aircraft.positions.raw.v1"
 CONSUMER_GROUP = "position-writer"
 
@@ -135,7 +137,7 @@ _VALUE = """
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     base = (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"))
         .selectExpr(
             "*",
             "CASE WHEN event_id % 41 = 7 THEN ts - INTERVAL '2' DAY ELSE ts END AS obs_ts",
@@ -296,7 +298,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
                CAST(unix_seconds(CAST(ts AS TIMESTAMP)) + 1 AS STRING) AS t1
         FROM {events}
         """,
-        events=table(spark, sf_dir, "events"),
+        events=spread(table(spark, sf_dir, "events")),
     )
     return parts.selectExpr("event_id", f"{_SNAPSHOT} AS value")
 
@@ -342,7 +344,7 @@ def bucket_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                map('le', b.le, 'route', event_type) AS labels, CAST(b.value AS DOUBLE) AS value
         FROM {{events}} LATERAL VIEW inline(array({bounds})) b
         """,
-        events=table(spark, sf_dir, "events"),
+        events=spread(table(spark, sf_dir, "events")),
     )
 
 

@@ -13,6 +13,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over at least as many tasks as there are cores.
+
+    Only an input with fewer splits than cores is redistributed, ahead of work that is
+    heavy per row; a large input already has more splits and is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def append_history(rows: DataFrame, path: str) -> None:
     """Append history rows by ingestion date, ordered so that row groups prune by aircraft.
 
@@ -26,6 +36,47 @@ def append_history(rows: DataFrame, path: str) -> None:
     )
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed snapshot versions under a path, oldest first."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(conf)
+    if not files.exists(root):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(root)]
+    found = [int(name.removeprefix("version=")) for name in names if name.startswith("version=")]
+    return sorted(
+        v for v in found if files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}/_SUCCESS"))
+    )
+
+
+def read_live(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest committed snapshot (older than ``before``), empty when there is none."""
+    known = [v for v in versions(spark, path) if before is None or v < before]
+    if not known:
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return read_table(spark, f"{path}/version={known[-1]}")
+
+
+def write_live(rows: DataFrame, path: str, version: int) -> None:
+    """Write a whole snapshot; repeating a version replaces it.
+
+    A live table has at most one row per 24-bit address, so a snapshot stays small however
+    long the history grows.
+    """
+    rows.select(*STORED_SCHEMA.names).write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> list[int]:
+    """Delete all but the newest snapshots; readers of the kept ones are undisturbed."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = versions(spark, path)[:-keep]
+    for version in dropped:
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/version={version}")
+        target.getFileSystem(conf).delete(target, True)
+    return dropped
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table and, as table ``*``, over all of them."""
     counted = [
