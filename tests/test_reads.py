@@ -1,0 +1,223 @@
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from airlane.functions import display, redact, times
+from airlane.operators import live, routes, validate
+from airlane.schemas import PUBLIC_COLUMNS, STORED_SCHEMA
+from airlane.sources import tables
+
+NOW = datetime(2024, 1, 1, 12)
+
+
+def stored(spark, *rows):
+    full = []
+    for i, row in enumerate(rows):
+        base = {f.name: None for f in STORED_SCHEMA}
+        base.update({"_id": f"id{i}", "icao24": f"00000{i}", "observed_at": NOW,
+                     "ingested_at": NOW, "latitude": 1.0, "longitude": 2.0, "kafka_offset": i})
+        base.update(row)
+        full.append(base)
+    return spark.createDataFrame(full, STORED_SCHEMA)
+
+
+def test_statistics_of_nothing(spark):
+    row = live.live_statistics(stored(spark).limit(0), times.as_of_column(NOW)).first()
+    assert row.asDict() == {"total_aircraft": 0, "airborne": 0, "on_ground": 0,
+                            "unknown_ground_state": 0, "last_observed_at": None}
+
+
+def test_statistics_window_is_inclusive(spark):
+    rows = stored(
+        spark, {"on_ground": True, "observed_at": NOW - timedelta(minutes=20)},
+        {"on_ground": False}, {"observed_at": NOW + timedelta(hours=1)},
+        {"observed_at": NOW - timedelta(minutes=20, milliseconds=1)})
+    row = live.live_statistics(rows, NOW).first()
+    assert (row.total_aircraft, row.on_ground, row.airborne, row.unknown_ground_state) == (
+        3, 1, 1, 1)
+
+
+@pytest.mark.parametrize("limit, truncated, count", [(2, True, 2), (3, False, 3), (9, False, 3)])
+def test_page(spark, limit, truncated, count):
+    page = live.live_page(stored(spark, {}, {}, {}), NOW, limit)
+    assert page.items.count() == count
+    assert page.envelope.first().asDict() == {
+        "count": count, "window_minutes": 20, "truncated": truncated}
+
+
+@pytest.mark.parametrize("limit", [0, -1, 50_001, True, "5"])
+def test_page_limit(spark, limit):
+    with pytest.raises(ValueError):
+        live.live_page(stored(spark, {}), NOW, limit)
+
+
+@pytest.mark.parametrize("icao24", ["", "12345", "1234567", "zzzzzz", "00000a\n"])
+def test_address_argument(spark, icao24):
+    with pytest.raises(ValueError):
+        live.aircraft(stored(spark, {}), icao24)
+
+
+def test_detail_and_history(spark):
+    rows = stored(spark, {"icao24": "00000a"}, {"icao24": "00000a",
+                  "observed_at": NOW + timedelta(seconds=1)}, {})
+    assert live.aircraft(rows, "00000B").count() == 0
+    found = live.aircraft_history(rows, "00000A", 1).collect()
+    assert [r.kafka_offset for r in found] == [1]
+    with pytest.raises(ValueError):
+        live.aircraft_history(rows, "00000A", 1001)
+
+
+def test_public_columns(spark):
+    rows = stored(spark, {"_id": "", "on_ground": True}).withColumn("secret", F.lit(1))
+    out = live.public(rows.drop("on_ground"))
+    assert tuple(out.columns) == PUBLIC_COLUMNS
+    assert out.first().on_ground is None and out.first()._id == "000000"
+    assert out.schema["on_ground"].dataType.typeName() == "boolean"
+
+
+def test_search_is_literal(spark):
+    rows = stored(spark, {"callsign": "THY1"}, {"callsign": "A%B", "origin_country": "Turkey"},
+                  {})
+    assert live.search(rows, " thy ").count() == 1
+    assert live.search(rows, "%").count() == 1
+    assert live.search(rows, "_").count() == 0
+    assert live.search(rows, "  ").count() == 3
+    assert live.search(rows, "turk").count() == 1
+    assert live.search(rows, "000002").count() == 1
+
+
+def test_valid_positions(spark):
+    rows = stored(spark, {}, {"latitude": None}, {"longitude": float("nan")},
+                  {"latitude": float("inf")}, {"longitude": float("-inf")})
+    assert rows.where(live.has_valid_position()).count() == 1
+
+
+def test_stale_count(spark):
+    rows = stored(spark, {}, {"observed_at": None}, {"observed_at": NOW - timedelta(hours=1)})
+    assert live.stale_count(rows, NOW, 10).first().asDict() == {
+        "total": 3, "live": 1, "hidden_stale": 2}
+
+
+@pytest.mark.parametrize("age, status, severity", [
+    (-5, "fresh", "ok"), (179, "fresh", "ok"), (180, "fresh", "warning"),
+    (300, "fresh", "critical"), (1201, "stale", "critical")])
+def test_freshness(spark, age, status, severity):
+    rows = stored(spark, {"ingested_at": NOW - timedelta(seconds=age)})
+    row = live.data_freshness(rows, times.as_of_column(NOW)).first()
+    assert (row.age_seconds, row.status, row.severity) == (max(0, age), status, severity)
+
+
+def test_freshness_of_nothing(spark):
+    row = live.data_freshness(stored(spark).limit(0), times.as_of_column(NOW)).first()
+    assert (row.last_ingested_at, row.age_seconds, row.status) == (None, None, "empty")
+
+
+def test_backfill(spark):
+    earlier = NOW - timedelta(days=1)
+    rows = stored(spark, {}, {"ingested_at": None, "observed_at": earlier},
+                  {"ingested_at": None, "observed_at": None})
+    found = [r.ingested_at for r in validate.backfill_ingested(
+        rows, NOW + timedelta(days=1)).orderBy("_id").collect()]
+    assert found == [NOW, earlier, NOW + timedelta(days=1)]
+
+
+@pytest.mark.parametrize("ground, metres, bucket", [
+    (True, 9000.0, "ft-0"), (False, None, "unknown"), (None, float("nan"), "unknown"),
+    (False, -50.0, "ft-0"), (None, 152.3, "ft-0"), (None, 152.5, "ft-500"),
+    (False, 3048.0, "ft-10000"), (False, 12192.0, "ft-40000"), (False, 12191.0, "ft-30000")])
+def test_altitude_bucket(spark, ground, metres, bucket):
+    row = spark.createDataFrame([(ground, metres)], "g BOOLEAN, m DOUBLE").select(
+        display.altitude_bucket(F.col("g"), F.col("m")).alias("b"),
+        display.altitude_color(F.col("g"), F.col("m")).alias("c")).first()
+    assert row.b == bucket
+    assert (row.c == "#ffffff") == (bucket == "unknown")
+
+
+@pytest.mark.parametrize("ms, value, unit", [
+    (-9000, 0, "s"), (59_400, 59, "s"), (59_500, 1, "min"), (3_599_400, 59, "min"),
+    (7_199_000, 1, "h")])
+def test_relative_age(spark, ms, value, unit):
+    rows = stored(spark, {"observed_at": NOW - timedelta(milliseconds=ms)})
+    row = rows.select(display.relative_age(F.col("observed_at"), NOW).alias("a")).first().a
+    assert (row.value, row.unit) == (value, unit)
+
+
+def test_relative_age_unknown(spark):
+    rows = stored(spark, {"observed_at": None})
+    row = rows.select(display.relative_age(F.col("observed_at"), NOW).alias("a")).first().a
+    assert (row.value, row.unit) == (None, None)
+
+
+def test_geojson(spark):
+    text = stored(spark, {"callsign": "", "on_ground": False}).select(
+        display.geojson_point()).first()[0]
+    feature = json.loads(text)
+    assert feature["geometry"] == {"type": "Point", "coordinates": [2.0, 1.0]}
+    assert feature["properties"] == {
+        "icao24": "000000", "callsign": "000000", "origin_country": "Bilinmiyor",
+        "altitude_bucket": "unknown", "altitude_m": None, "heading_deg": None,
+        "velocity_mps": None, "observed_at": "2024-01-01T12:00:00.000+00:00", "on_ground": False}
+
+
+def route(spark, n, **last):
+    rows = [{"icao24": "00000a", "observed_at": NOW + timedelta(seconds=i), "latitude": float(i)}
+            for i in range(n)]
+    if last:
+        rows[-1].update(last)
+    return routes.route_points(stored(spark, *rows))
+
+
+def test_route_of_two(spark):
+    points = route(spark, 2)
+    assert routes.route_status(points).first().status == "ready"
+    assert routes.route_segments(points).count() == 1
+    stops = routes.route_gradient(points).orderBy("seq").collect()
+    assert [s.progress for s in stops] == [0.0, 1.0]
+    ends = {r.role: r.latitude for r in routes.route_endpoints(points).collect()}
+    assert ends == {"start": 0.0, "end": 1.0}
+    line = json.loads(routes.route_linestring(points).first().geojson)
+    assert line["geometry"]["coordinates"] == [[2.0, 0.0], [2.0, 1.0]]
+    assert line["properties"] == {}
+
+
+def test_route_of_one(spark):
+    points = route(spark, 2, latitude=None)
+    assert routes.route_status(points).first().status == "empty"
+    for part in (routes.route_segments, routes.route_gradient, routes.route_endpoints,
+                 routes.route_linestring):
+        assert part(points).count() == 0
+
+
+def test_route_keeps_newest(spark):
+    points = route(spark, 130)
+    assert points.count() == 120
+    assert points.agg(F.min("latitude")).first()[0] == 10.0
+
+
+def test_table_counts(spark):
+    rows = tables.table_counts({"a": stored(spark, {}, {}), "b": stored(spark, {}).limit(0)})
+    assert {r.table: r.rows for r in rows.collect()} == {"a": 2, "b": 0, "*": 2}
+
+
+def test_redaction(spark):
+    text = "client_secret=visible Bearer visible-token, Password : p;x&access_token=q&n=1"
+    out = spark.createDataFrame([(text,)], "t STRING").select(redact.redact_text(F.col("t")))
+    assert out.first()[0] == (
+        "client_secret=[REDACTED] Bearer [REDACTED], Password=[REDACTED];x"
+        "&access_token=[REDACTED]&n=1")
+
+
+def test_keyed_redaction(spark):
+    row = spark.sql("""SELECT '4baa12' AS icao24, 'x' AS client_secret,
+        named_struct('raw', 1) AS raw_payload,
+        named_struct('Authorization', 'y', 'n', 1) AS headers,
+        map('api_token', array(1), 'k', array(2)) AS m,
+        array(named_struct('password', 'z', 'note', 'Bearer abc')) AS items""")
+    out = row.select(*redact.redact_columns(row.schema)).first().asDict(recursive=True)
+    assert out["icao24"] == "4baa12"
+    assert out["client_secret"] == out["raw_payload"] == "[REDACTED]"
+    assert out["headers"] == {"Authorization": "[REDACTED]", "n": 1}
+    assert out["m"] == {"api_token": "[REDACTED]", "k": "[2]"}
+    assert out["items"] == [{"password": "[REDACTED]", "note": "Bearer [REDACTED]"}]
