@@ -17,6 +17,10 @@ TUNING_CONF = {
     # HotSpot does not compile methods above 8,000 bytecodes; wide validation stages run
     # faster as separately generated projections than as one interpreted method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The ids remembered for deduplication outgrow the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
