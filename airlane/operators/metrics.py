@@ -52,9 +52,9 @@ def latest_samples(samples: DataFrame, as_of, lookback_minutes: int = 5) -> Data
         (F.col("ts") <= now) & (F.col("ts") > now - times.minutes(lookback_minutes))
     )
     return (
-        window.withColumn("_series", series_key()).groupBy("metric", "_series")
-        .agg(F.max_by(F.struct("ts", "labels", "value"), "ts").alias("_row"))
-        .select("metric", "_row.*")
+        window.groupBy("metric", series_key().alias("_series"))
+        .agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
+        .select("metric", "ts", F.map_from_entries("_series").alias("labels"), "value")
     )
 
 
@@ -66,18 +66,20 @@ def by_label(rows: DataFrame, labels: Sequence[str], aggregate, value: str = "va
 
 
 def increases(samples: DataFrame, window_minutes: int = 5, value: str = "value",
-              windows_per_chunk: int = 72) -> DataFrame:
+              windows_per_chunk: int | None = None) -> DataFrame:
     """Counter growth per series and tumbling window, counting a drop as a restart from zero.
 
     Growth between two samples belongs to the window of the later one, so window values
     add up to the whole growth. Rates divide by the window length; nothing is extrapolated
-    to the window edges. A series is worked on in chunks of ``windows_per_chunk`` windows.
+    to the window edges. A series is worked on in chunks of ``windows_per_chunk`` windows,
+    by default an hour or one window.
     """
     seconds = window_minutes * 60
+    per_chunk = windows_per_chunk or max(1, 60 // window_minutes)
     slot = F.floor(times.to_millis(F.col("ts")) / (seconds * 1000)).cast("bigint")
-    rows = samples.withColumns({"_series": series_key(), "_slot": slot}).withColumn(
-        "_chunk", F.floor(F.col("_slot") / windows_per_chunk).cast("bigint")
-    )
+    rows = samples.select(
+        "ts", "metric", value, series_key().alias("_series"), slot.alias("_slot")
+    ).withColumn("_chunk", F.floor(F.col("_slot") / per_chunk).cast("bigint"))
     rows = previous(
         rows, keys=["metric", "_series"], chunk=["_chunk"], order=["ts"],
         fields=[value], name="_before",
@@ -89,10 +91,10 @@ def increases(samples: DataFrame, window_minutes: int = 5, value: str = "value",
     )
     # Grouping by the chunk as well keeps the partitioning of the step before.
     return rows.groupBy("metric", "_series", "_chunk", "_slot").agg(
-        F.any_value("labels").alias("labels"), F.sum(grown).alias("increase")
+        F.sum(grown).alias("increase")
     ).select(
         "metric",
-        "labels",
+        F.map_from_entries("_series").alias("labels"),
         times.from_millis(F.col("_slot") * (seconds * 1000)).alias("window_start"),
         "increase",
     )
@@ -201,11 +203,19 @@ def throughput(events: DataFrame, ts: str = "ts", window_minutes: int = 5) -> Da
     )
 
 
-def percent_used(numerator: DataFrame, denominator: DataFrame, on: Sequence[str]) -> DataFrame:
-    """``100 * (1 - a / b)`` of two gauges matched on their shared labels and time."""
-    a = numerator.select(*on, F.col("value").alias("_a"))
-    b = denominator.select(*on, F.col("value").alias("_b"))
-    return a.join(b, list(on)).select(
+def percent_used(samples: DataFrame, available: str, total: str,
+                 on: Sequence[str]) -> DataFrame:
+    """``100 * (1 - available / total)`` of two gauges matched on time and labels ``on``.
+
+    Both gauges are gathered by one grouping; a match that lacks either is left out.
+    """
+    def gauge(metric: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col("value")))
+
+    matched = samples.where(F.col("metric").isin(available, total)).groupBy(*on).agg(
+        gauge(available).alias("_a"), gauge(total).alias("_b")
+    ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    return matched.select(
         *on, (100 * (1 - F.try_divide(F.col("_a"), F.col("_b")))).alias("percent")
     )
 

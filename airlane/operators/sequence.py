@@ -82,12 +82,12 @@ def previous(
 ) -> DataFrame:
     """Struct of ``fields`` of the preceding row of the sequence, null for the first row."""
     item = F.struct(*fields)
-    summary = rows.groupBy(*keys, *chunk).agg(
-        F.max_by(item, F.struct(*order)).alias("_last")
-    )
+    # Plain columns instead of structs keep a numeric summary in a hash aggregate.
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    summary = rows.groupBy(*keys, *chunk).agg(*(F.max_by(f, rank).alias(f) for f in fields))
     carry = summary.select(
         *keys, *chunk,
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy(*chunk)).alias("_carry"),
+        F.lag(item).over(Window.partitionBy(*keys).orderBy(*chunk)).alias("_carry"),
     )
     inside = Window.partitionBy(*keys, *chunk).orderBy(*order)
     return (

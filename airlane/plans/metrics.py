@@ -192,9 +192,7 @@ FROM events
 def metric_ratio(spark, sf_dir):
     """Percentage from two gauges of the same series and time."""
     rows = views.samples(spark, sf_dir).withColumn("route", metrics.label("route"))
-    a = metrics.select_series(rows, "freshness_seconds")
-    b = metrics.select_series(rows, "memory_bytes")
-    percent = metrics.percent_used(a, b, ["ts", "route"])
+    percent = metrics.percent_used(rows, "freshness_seconds", "memory_bytes", ["ts", "route"])
     return percent.withColumn("percent", F.round("percent", 9))
 
 

@@ -92,9 +92,11 @@ def test_latency_buckets_are_cumulative(spark):
 
 
 def test_ratio_and_busy(spark):
-    a, b = samples(spark, [(0, {}, 25), (1, {}, 1)]), samples(spark, [(0, {}, 100), (1, {}, 0)])
-    found = {r.ts: r.percent for r in metrics.percent_used(a, b, ["ts"]).collect()}
-    assert found[T0] == 75.0 and found[T0 + timedelta(seconds=1)] is None
+    a = samples(spark, [(0, {}, 25), (1, {}, 1), (2, {}, 1)], "a")
+    b = samples(spark, [(0, {}, 100), (1, {}, 0)], "b")
+    found = {r.ts: r.percent
+             for r in metrics.percent_used(a.union(b), "a", "b", ["ts"]).collect()}
+    assert found == {T0: 75.0, T0 + timedelta(seconds=1): None}
     idle = samples(spark, [(0, {"i": "n"}, 0), (240, {"i": "n"}, 150)])
     assert metrics.percent_busy(idle, ["i"]).first().percent == 50.0
 
