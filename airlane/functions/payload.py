@@ -59,7 +59,8 @@ def member(doc: Column, name: str, kind: str = "variant") -> Column:
 
 def numeric(type_name: Column) -> Column:
     """Whether a VARIANT type name is that of a JSON number."""
-    return type_name.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    # BIGINT, DOUBLE, FLOAT or DECIMAL(p,s), told apart from all other types by three letters.
+    return F.left(type_name, F.lit(3)).isin("BIG", "DOU", "FLO", "DEC")
 
 
 def number(v: Column, type_name: Column) -> Column:

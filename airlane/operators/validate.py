@@ -35,8 +35,15 @@ def _doc() -> Column:
 
 
 
-#: Members of the typed event, fetched from the document in one pass.
-_MEMBERS = "struct<" + ",".join(f"`{f.name}` variant" for f in EVENT_SCHEMA) + ",`_id` variant>"
+#: Members that rules look at; each is fetched and its JSON type taken once.
+_RULED = ("icao24", "latitude", "longitude", "observed_at", "ingested_at", "schema_version",
+          "event_id", "on_ground")
+
+
+def _fetch(names) -> Column:
+    """Several members of the document in one pass over it, as VARIANT values."""
+    fields = ",".join(f"`{name}` variant" for name in names)
+    return F.try_variant_get(_doc(), "$[0]", f"struct<{fields}>")
 
 
 def _member(name: str, kind: str | None = None) -> Column:
@@ -45,9 +52,8 @@ def _member(name: str, kind: str | None = None) -> Column:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Messages plus ``_doc`` (null when the value is not one JSON object) and ``_members``."""
-    parsed = payload.with_document(messages, payload.decode_text(F.col("value")))
-    return parsed.withColumn("_members", F.try_variant_get(_doc(), "$[0]", _MEMBERS))
+    """Messages plus the parsed document ``_doc``, null when the value is not one JSON object."""
+    return payload.with_document(messages, payload.decode_text(F.col("value")))
 
 
 def _once(*columns: Column) -> Column:
@@ -72,11 +78,6 @@ def canonical_uuid(digits: Column) -> Column:
     return F.when(digits.rlike(r"^[0-9a-f]{32}\z"), F.concat_ws("-", *parts))
 
 
-#: Members that rules look at; each is fetched and its JSON type taken once.
-_RULED = ("icao24", "latitude", "longitude", "observed_at", "ingested_at", "schema_version",
-          "event_id", "on_ground")
-
-
 def _type(name: str) -> Column:
     """JSON type of a ruled member: null when absent, VOID for an explicit null."""
     return F.col(f"_{name}_type")
@@ -87,7 +88,8 @@ def _inspect(parsed: DataFrame) -> DataFrame:
     text = {n: F.when(_type(n) == "STRING", _member(n, "string"))
             for n in ("observed_at", "ingested_at", "event_id")}
     return (
-        parsed.withColumns({f"_{n}_type": F.schema_of_variant(_member(n)) for n in _RULED})
+        parsed.withColumn("_members", _fetch(_RULED))
+        .withColumns({f"_{n}_type": F.schema_of_variant(_member(n)) for n in _RULED})
         .withColumns(
             {
                 # A whole JSON number counts as its digits; nothing else is text.
@@ -99,6 +101,10 @@ def _inspect(parsed: DataFrame) -> DataFrame:
                 "_observed_text": text["observed_at"],
                 "_ingested_text": text["ingested_at"],
                 "_digits": uuid_digits(text["event_id"]),
+                "_version": payload.number(_member("schema_version"), _type("schema_version")),
+                "_ground": F.when(
+                    _type("on_ground") == "BOOLEAN", _member("on_ground", "boolean")
+                ),
             }
         )
         .withColumns(
@@ -115,10 +121,6 @@ def _absent(name: str) -> Column:
     return _type(name).isNull()
 
 
-def _equals(name: str, *numbers: float) -> Column:
-    return payload.number(_member(name), _type(name)).isin(*numbers)
-
-
 def error_code() -> Column:
     """First failing rule over the inspected columns, or null."""
     version, ground = "schema_version", "on_ground"
@@ -136,14 +138,15 @@ def error_code() -> Column:
         # True and 1 both equal the supported version; an explicit null does not.
         (
             "schema_version",
-            _absent(version) | _equals(version, SCHEMA_VERSION)
+            _absent(version) | (F.col("_version") == SCHEMA_VERSION)
             | ((_type(version) == "BOOLEAN") & _member(version, "boolean")),
         ),
         ("event_id", _absent("event_id") | F.col("_uuid").isNotNull()),
         # 0 and 1 compare equal to booleans and pass as unknown state.
         (
             "on_ground",
-            _absent(ground) | _type(ground).isin("BOOLEAN", "VOID") | _equals(ground, 0.0, 1.0),
+            _absent(ground) | _type(ground).isin("BOOLEAN", "VOID")
+            | payload.number(_member(ground), _type(ground)).isin(0.0, 1.0),
         ),
     ]
     code = F
@@ -179,21 +182,30 @@ def validate(messages: DataFrame, as_of) -> DataFrame:
     field, ``present`` (which optional fields the document carries), ``extra`` (all other
     members) and ``error_code``. ``as_of`` stands in for a missing ``ingested_at``.
     """
+    optional = [name for name in OPTIONAL_FIELDS if name not in _RULED]
     derived = {
+        "schema_version": F.col("_version").cast("int"),
+        "event_id": F.col("_uuid"),
         "icao24": F.col("_address"),
         "latitude": F.col("_lat"),
         "longitude": F.col("_lon"),
         "observed_at": F.col("_observed"),
-        "event_id": F.col("_uuid"),
         "ingested_at": F.coalesce(F.col("_ingested"), times.as_of_column(as_of)),
+        "on_ground": F.col("_ground"),
     }
     events = [derived.get(f.name, _typed(f)).alias(f.name) for f in EVENT_SCHEMA]
-    present = F.struct(*(_member(name).isNotNull().alias(name) for name in OPTIONAL_FIELDS))
-    kept = ("_doc", "_members", "_address", "_lat", "_lon", "_observed", "_ingested", "_uuid")
+    present = F.struct(
+        *(
+            (_member(name) if name in optional else _type(name)).isNotNull().alias(name)
+            for name in OPTIONAL_FIELDS
+        )
+    )
+    kept = ["_doc", "_address", "_lat", "_lon", "_observed", "_ingested", "_uuid", "_version",
+            "_ground", *(f"_{n}_type" for n in OPTIONAL_FIELDS if n in _RULED)]
     checked = _inspect(decode(messages)).select(
         *messages.columns,
         _once(*(F.col(c).alias(c) for c in kept), error_code().alias("error_code")),
-    )
+    ).withColumn("_members", _fetch(optional))
     return checked.select(
         "key", "value", "timestamp", "timestampType", "headers",
         F.col("topic").alias("kafka_topic"),
@@ -230,6 +242,7 @@ def realtime_events(messages: DataFrame) -> DataFrame:
         fields.append(column.alias(f.name))
     own_id = F.when(payload.is_truthy(_member("_id")), _member("_id", "string"))
     skipped = ~payload.is_truthy(_member("icao24"))
+    names = [*EVENT_SCHEMA.names, "_id"]
     times_read = {
         f"_{n}": times.parse_iso(F.col(f"_{n}_text")) for n in ("observed_at", "ingested_at")
     }
@@ -237,7 +250,7 @@ def realtime_events(messages: DataFrame) -> DataFrame:
         f"_{n}_text": F.when(payload.is_string(_member(n)), _member(n, "string"))
         for n in ("observed_at", "ingested_at")
     }
-    parsed = decode(messages).select(
+    parsed = decode(messages).withColumn("_members", _fetch(names)).select(
         *messages.columns,
         _once(F.col("_members").alias("_members"), skipped.alias("skipped")),
     )
