@@ -56,13 +56,15 @@ def decode(messages: DataFrame) -> DataFrame:
     return payload.with_document(messages, payload.decode_text(F.col("value")))
 
 
-def _once(*columns: Column) -> Column:
-    """The columns as one generated struct.
+def _once(rows: DataFrame, keep: list[str], computed: dict[str, Column]) -> DataFrame:
+    """``keep`` and the computed columns, with filters on the latter kept above this step.
 
-    Catalyst copies a projected expression into every filter pushed below it; it cannot
-    push a filter below a generator. Values computed here are computed once per message.
+    Catalyst copies a projected expression into every filter it pushes below the projection;
+    it cannot push a filter below a generator. The struct is built by an ordinary projection,
+    so the generator itself only unpacks it.
     """
-    return F.inline(F.array(F.struct(*columns)))
+    packed = F.struct(*(column.alias(name) for name, column in computed.items()))
+    return rows.select(*keep, packed.alias("_row")).select(*keep, F.inline(F.array("_row")))
 
 
 def uuid_digits(text: Column) -> Column:
@@ -202,9 +204,10 @@ def validate(messages: DataFrame, as_of) -> DataFrame:
     )
     kept = ["_doc", "_address", "_lat", "_lon", "_observed", "_ingested", "_uuid", "_version",
             "_ground", *(f"_{n}_type" for n in OPTIONAL_FIELDS if n in _RULED)]
-    checked = _inspect(decode(messages)).select(
-        *messages.columns,
-        _once(*(F.col(c).alias(c) for c in kept), error_code().alias("error_code")),
+    checked = _once(
+        _inspect(decode(messages)),
+        messages.columns,
+        {**{c: F.col(c) for c in kept}, "error_code": error_code()},
     ).withColumn("_members", _fetch(optional))
     return checked.select(
         "key", "value", "timestamp", "timestampType", "headers",
@@ -250,9 +253,10 @@ def realtime_events(messages: DataFrame) -> DataFrame:
         f"_{n}_text": F.when(payload.is_string(_member(n)), _member(n, "string"))
         for n in ("observed_at", "ingested_at")
     }
-    parsed = decode(messages).withColumn("_members", _fetch(names)).select(
-        *messages.columns,
-        _once(F.col("_members").alias("_members"), skipped.alias("skipped")),
+    parsed = _once(
+        decode(messages).withColumn("_members", _fetch(names)),
+        messages.columns,
+        {"_members": F.col("_members"), "skipped": skipped},
     )
     return parsed.withColumns(texts).withColumns(times_read).select(
         F.coalesce(own_id, _member("icao24", "string"), F.lit("")).alias("_id"),
