@@ -59,6 +59,15 @@ STORED_SCHEMA = T.StructType(
     + [T.StructField(name, kind) for name, kind in LOG_FIELDS]
 )
 
+#: A history row with all other members of its document as JSON text, and its date.
+HISTORY_SCHEMA = T.StructType(
+    list(STORED_SCHEMA.fields)
+    + [
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("ingest_date", T.DateType()),
+    ]
+)
+
 #: Columns that public reads return, in order.
 PUBLIC_COLUMNS = (
     "_id",

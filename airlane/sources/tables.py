@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from airlane.schemas import STORED_SCHEMA
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table by its explicit schema; filters and projections reach the files."""
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+def read_table(spark: SparkSession, path: str, schema=STORED_SCHEMA) -> DataFrame:
+    """A stored table by its explicit schema; filters and projections reach the files.
+
+    ``HISTORY_SCHEMA`` also reads the members outside the typed event.
+    """
+    return spark.read.schema(schema).parquet(path)
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -26,12 +29,15 @@ def spread(rows: DataFrame) -> DataFrame:
 def append_history(rows: DataFrame, path: str) -> None:
     """Append history rows by ingestion date, ordered so that row groups prune by aircraft.
 
-    The date directories serve retention and age filters; inside a task rows are sorted by
-    aircraft and time, which is the access path of history reads.
+    The date directories serve retention and age filters; inside a file rows are sorted by
+    aircraft and time, which is the access path of history reads. Rebalancing by date gives
+    files of the advisory size: small dates share a task and a large one is split, so
+    neither many tiny files nor one oversized task results.
     """
     dated = rows.withColumn("ingest_date", F.to_date("ingested_at"))
     (
-        dated.sortWithinPartitions("ingest_date", "icao24", "observed_at")
+        dated.hint("rebalance", "ingest_date")
+        .sortWithinPartitions("ingest_date", "icao24", "observed_at")
         .write.mode("append").partitionBy("ingest_date").parquet(path)
     )
 

@@ -45,15 +45,20 @@ def new_history(messages: DataFrame,
 
 def start_history(messages: DataFrame, path: str, checkpoint: str,
                   horizon_hours: int | None = HISTORY_RETENTION_HOURS,
-                  **trigger) -> StreamingQuery:
-    """Append new history to date-partitioned files; the file sink commits exactly once."""
+                  retention_hours: int | None = None, **trigger) -> StreamingQuery:
+    """Append new history to date-partitioned files; the file sink commits exactly once.
+
+    With ``retention_hours`` the sink forgets files committed longer ago than that, so
+    readers of the path no longer see them.
+    """
     rows = new_history(messages, horizon_hours).select(
         *STORED_SCHEMA.names, "extra", F.to_date("ingested_at").alias("ingest_date")
     )
+    sink = rows.writeStream.format("parquet").outputMode("append").partitionBy("ingest_date")
+    if retention_hours is not None:
+        sink = sink.option("retention", f"{retention_hours} hours")
     return (
-        rows.writeStream.format("parquet").outputMode("append")
-        .partitionBy("ingest_date")
-        .option("path", path).option("checkpointLocation", checkpoint)
+        sink.option("path", path).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
@@ -61,10 +66,12 @@ def start_history(messages: DataFrame, path: str, checkpoint: str,
 
 def write_batch(batch: DataFrame, batch_id: int, live_path: str,
                 dead_letters: Callable[[DataFrame, int], None], consumer_group: str,
-                live_retention_hours: int = LIVE_RETENTION_HOURS) -> None:
+                live_retention_hours: int = LIVE_RETENTION_HOURS,
+                keep_versions: int = 24) -> None:
     """Dead letters and the next live snapshot of one micro-batch.
 
-    The batch is classified once and kept while both sinks read it.
+    The batch is classified once and kept while both sinks read it. Snapshot versions are
+    batch numbers, so a live path belongs to one checkpoint.
     """
     spark = batch.sparkSession
     now = times.instant_to_utc(F.current_timestamp())
@@ -76,6 +83,7 @@ def write_batch(batch: DataFrame, batch_id: int, live_path: str,
         merged = latest.merge_into(current, validate.valid(classified))
         kept = retention.retain_by_age(merged, now, live_retention_hours)
         tables.write_live(kept, live_path, batch_id)
+        tables.drop_old_versions(spark, live_path, keep_versions)
     finally:
         classified.unpersist()
 

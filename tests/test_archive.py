@@ -4,8 +4,9 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from airlane.schemas import STORED_SCHEMA
+from airlane.schemas import HISTORY_SCHEMA, STORED_SCHEMA
 from airlane.sources import archive, tables
 
 
@@ -86,6 +87,20 @@ def test_manifest_is_required(spark, tmp_path):
         archive.import_archive(spark, str(tmp_path), targets(tmp_path))
 
 
+def test_history_is_appended_by_date(spark, tmp_path):
+    path = str(tmp_path / "history")
+    day = rows(spark, "a", "b").withColumn("ingested_at", F.expr("TIMESTAMP_NTZ '2024-01-01'"))
+    extra = F.create_map(F.lit("note"), F.lit('"n"'))
+    tables.append_history(day.withColumn("extra", extra), path)
+    later = rows(spark, "c").withColumn("ingested_at", F.expr("TIMESTAMP_NTZ '2024-01-02'"))
+    tables.append_history(later.withColumn("extra", extra), path)
+    assert {p.name for p in Path(path).glob("ingest_date=*")} == {
+        "ingest_date=2024-01-01", "ingest_date=2024-01-02"}
+    back = tables.read_table(spark, path, HISTORY_SCHEMA)
+    assert {(r._id, str(r.ingest_date), r.extra["note"]) for r in back.collect()} == {
+        ("a", "2024-01-01", '"n"'), ("b", "2024-01-01", '"n"'), ("c", "2024-01-02", '"n"')}
+
+
 def test_existing_archive_is_kept(spark, exported):
     path, both = exported
     with pytest.raises(Exception, match="already exists"):
