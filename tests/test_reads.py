@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -196,6 +197,21 @@ def test_route_keeps_newest(spark):
     assert points.agg(F.min("latitude")).first()[0] == 10.0
 
 
+@pytest.mark.parametrize("limit", [1, 7, 40, 1000])
+def test_top_n_against_fold(spark, limit):
+    pick = random.Random(limit)
+    rows = [{"icao24": pick.choice(["00000a", "00000a", "00000b", "00000c"]),
+             "observed_at": None if pick.random() < 0.05 else
+             NOW + timedelta(minutes=pick.randrange(2000))} for _ in range(300)]
+    expected = set()
+    for key in {r["icao24"] for r in rows}:
+        mine = [(r["observed_at"] or datetime.min, i) for i, r in enumerate(rows)
+                if r["icao24"] == key]
+        expected |= {i for _, i in sorted(mine, reverse=True)[:limit]}
+    found = live.history_top_n(stored(spark, *rows), limit)
+    assert {r.kafka_offset for r in found.collect()} == expected
+
+
 def test_table_counts(spark):
     rows = tables.table_counts({"a": stored(spark, {}, {}), "b": stored(spark, {}).limit(0)})
     assert {r.table: r.rows for r in rows.collect()} == {"a": 2, "b": 0, "*": 2}
