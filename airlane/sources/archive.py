@@ -99,21 +99,33 @@ def _documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     ).json(f"{path}/documents")
 
 
-def check_lines(spark: SparkSession, path: str, schemas: dict[str, T.StructType]) -> None:
-    """Raise on the first malformed or foreign lines, naming their files."""
-    problems = None
+def check_lines(spark: SparkSession, path: str,
+                schemas: dict[str, T.StructType]) -> dict[str, int]:
+    """Sound lines per table, from one pass per table schema.
+
+    Raises on malformed or foreign lines, naming the files of the first few.
+    """
+    counts = {}
     for name, schema in schemas.items():
-        rows = _documents(spark, path, schema).withColumn("_file", F.input_file_name())
-        mine = F.col("collection") == name
+        rows = _documents(spark, path, schema)
+        damaged = F.col("_corrupt").isNotNull() | F.col("document").isNull()
         foreign = F.col("collection").isNull() | ~F.col("collection").isin(*schemas)
         # A line of another known table may not fit this schema; that is no fault.
-        bad = (mine & (F.col("_corrupt").isNotNull() | F.col("document").isNull())) | foreign
-        found = rows.where(bad).select("_file", F.coalesce("_corrupt", "collection").alias("what"))
-        problems = found if problems is None else problems.unionByName(found)
-    examples = problems.limit(5).collect()
-    if examples:
-        shown = "; ".join(f"{row['_file']}: {str(row['what'])[:200]}" for row in examples)
-        raise ValueError(f"archive holds invalid records, for example: {shown}")
+        mine = F.coalesce(F.col("collection") == name, F.lit(False))
+        bad = (mine & damaged) | foreign
+        found = rows.agg(
+            F.count_if(mine & ~damaged).alias("sound"), F.count_if(bad).alias("bad")
+        ).first()
+        if found.bad:
+            what = F.coalesce("_corrupt", "collection", F.lit("no table name")).alias("what")
+            examples = rows.select(F.input_file_name().alias("file"), what, bad.alias("bad"))
+            shown = "; ".join(
+                f"{row.file}: {row.what[:200]}"
+                for row in examples.where("bad").limit(5).collect()
+            )
+            raise ValueError(f"archive holds {found.bad} invalid records, for example: {shown}")
+        counts[name] = found.sound
+    return counts
 
 
 def is_empty(spark: SparkSession, path: str) -> bool:
@@ -137,15 +149,13 @@ def import_archive(spark: SparkSession, path: str, targets: dict[str, str],
         if filled:
             raise ValueError(f"target tables are not empty: {filled}")
     schemas = {n: T.StructType.fromJson(manifest["schemas"][n]) for n in COLLECTIONS}
-    check_lines(spark, path, schemas)
+    counts = check_lines(spark, path, schemas)
+    if counts != manifest["rows"]:
+        raise ValueError(f"archive holds {counts} rows, its manifest says {manifest['rows']}")
     tables = {
         name: _documents(spark, path, schemas[name])
         .where(F.col("collection") == name).select("document.*")
         for name in COLLECTIONS
     }
-    for name, rows in tables.items():
-        expected, found = manifest["rows"][name], rows.count()
-        if expected != found:
-            raise ValueError(f"archive of {name} holds {found} rows, its manifest says {expected}")
     for name, rows in tables.items():
         rows.write.mode("overwrite").parquet(targets[name])

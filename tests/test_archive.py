@@ -73,7 +73,7 @@ def test_missing_rows_are_noticed(spark, tmp_path, exported):
     extra = {"collection": "raw_positions", "document": {"_id": "d", "icao24": "4baa12"}}
     with gzip.open(Path(path) / "documents" / "part-extra.txt.gz", "wt") as out:
         out.write(json.dumps(extra) + "\n")
-    with pytest.raises(ValueError, match="manifest says 3"):
+    with pytest.raises(ValueError, match="manifest says"):
         archive.import_archive(spark, path, targets(tmp_path))
 
 
