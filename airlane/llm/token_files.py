@@ -10,9 +10,11 @@ mod 2**32, c a CRC-32. Beside every record file stands its index, one 8-byte off
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,10 @@ from airlane.llm.common import prepare, scratch, stored, text_hash, texts_of
 
 #: A record file is closed beyond this many bytes.
 FILE_BYTES = 64 << 20
-#: Entries of a worker's cache of encoded words; it is emptied when full.
-CACHE_ROWS = 400_000
-_LONG_WORD = 48
+#: Entries of a worker's cache of encoded words; it is emptied when full. Its longest word in bytes.
+CACHE_ROWS, _LONG_WORD = 800_000, 48
+#: ASCII letters and one mark, which the tokenizer always splits.
+_MARKED = re.compile(rb"([a-z]+)([.,;:!?])")
 
 
 def masked(data: bytes) -> int:
@@ -80,7 +83,7 @@ class WordEncoder:
         self.cache: dict[bytes, bytes] = {}
         self.cache_rows = cache_rows
         one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        self.by_word = one(" Ab,\n\tc\r\x0b\x0cd") == [i for t in ("ab,", "c", "d") for i in one(t)]
+        self.by_word = one(" Ab,\n\tc\r\x0b\x0cd") == [i for t in ("ab", ",", "c", "d") for i in one(t)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as 4-byte little-endian integers."""
@@ -95,17 +98,26 @@ class WordEncoder:
         if len(self.cache) + len(missing) > self.cache_rows:
             self.cache.clear()
         missing.difference_update(self.cache)
-        new = list(missing)
+        marked = {w: m.groups() for w in missing if (m := _MARKED.fullmatch(w))}
+        halves = {half for pair in marked.values() for half in pair}
+        new = list((missing - marked.keys()) | (halves - self.cache.keys()))
         self.cache.update(zip(new, self.encode(new)))
+        self.cache.update((w, self.cache[a] + self.cache[b]) for w, (a, b) in marked.items())
         whole = iter(self.encode([t for t, words in zip(texts, cut) if words is None]))
         get = self.cache.__getitem__
         out = [next(whole) if words is None else b"".join(map(get, words)) for words in cut]
-        for w in new:
+        for w in missing.union(new):
             if len(w) > _LONG_WORD:
                 del self.cache[w]
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder per worker process: its cache outlives a task."""
+    return WordEncoder(path)
+
+
 def _open(uri: str):
     system, path = pyarrow.fs.FileSystem.from_uri(uri)
     return system, path
@@ -163,7 +175,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 1
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        encoder, made = WordEncoder(tokenizer), []
+        encoder, made = worker_encoder(tokenizer), []
         files = _Files(uri, task.partitionId(), task.taskAttemptId(), file_bytes)
         end = struct.pack("<I", end_id)
         for batch in batches:
