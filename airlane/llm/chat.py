@@ -42,22 +42,31 @@ def linear_messages(turns: DataFrame) -> DataFrame:
 
 
 def _pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Tables of 2**k-th ancestors, and per message its root, depth and score summed along the path."""
+    """Tables of 2**k-th ancestors, and per message its root, depth and score summed along the path.
+
+    A message that has met its root leaves the doubling; a table holds the others only. Messages on a
+    cycle, and those below one, never meet a root and are left out.
+    """
     known = nodes.select(F.col("node").alias("known"))
     state = stored(nodes.join(known, F.col("parent") == F.col("known"), "left").select(
         "node", F.col("known").alias("up"), F.col("node").alias("top"),
         F.lit(1).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).alias("total")), "chat-links")
-    tables, pending = [], None
-    while (left := state.where("up IS NOT NULL").count()) and left != pending:
-        tables.append(state)
-        pending = left
-        far = state.select(F.col("node").alias("up"), F.col("up").alias("far"), F.col("top").alias("far_top"),
-                           F.col("depth").alias("far_depth"), F.col("total").alias("far_total"))
-        state = stored(state.join(far, "up", "left").select(
-            "node", F.col("far").alias("up"), F.coalesce("far_top", "top").alias("top"),
-            (F.col("depth") + F.coalesce("far_depth", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("far_total", F.lit(0.0))).alias("total")), "chat-links")
-    return tables, state
+    reached, tables, before = state.where("up IS NULL"), [], None
+    while True:
+        pending = state.where("up IS NOT NULL")
+        left = pending.count()
+        if left in (0, before):
+            return tables, reached
+        before = left
+        tables.append(pending)
+        far = reached.unionByName(pending).select(
+            F.col("node").alias("up"), F.col("up").alias("far"), F.col("top").alias("far_top"),
+            F.col("depth").alias("far_depth"), F.col("total").alias("far_total"))
+        state = stored(pending.join(far, "up").select(
+            "node", F.col("far").alias("up"), F.col("far_top").alias("top"),
+            (F.col("depth") + F.col("far_depth")).alias("depth"),
+            (F.col("total") + F.col("far_total")).alias("total")), "chat-links")
+        reached = reached.unionByName(state.where("up IS NULL"))
 
 
 def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
@@ -72,16 +81,13 @@ def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     row = F.min(F.struct("parent", "score", "role", "text")).alias("row")
     nodes = stored(messages.where("node IS NOT NULL").groupBy("node").agg(row).select("node", "row.*"), "chat-nodes")
     tables, reached = _pointers(nodes)
-    first = tables[0] if tables else reached
-    replied = first.where("up IS NOT NULL").select(F.col("up").alias("node")).distinct()
-    ends = reached.where("up IS NULL").join(replied, "node", "left_anti")
+    ends = reached.join(tables[0].select(F.col("up").alias("node")).distinct(), "node", "left_anti") if tables else reached
     best = Window.partitionBy("top").orderBy(F.desc("total"), "node")
     chosen = ends.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep)
     paths = stored(chosen.select(F.col("top").alias("root"), F.col("node").alias("leaf"), "rank",
                                  F.col("total").alias("path_score"), "node", F.col("depth").alias("place")), "chat-paths")
     for k, step in enumerate(tables):
-        jumps = step.where("up IS NOT NULL").select("node", "up")
-        added = stored(paths.join(jumps, "node").select(
+        added = stored(paths.join(step.select("node", "up"), "node").select(
             "root", "leaf", "rank", "path_score", F.col("up").alias("node"),
             (F.col("place") - (1 << k)).alias("place")), "chat-paths")
         paths = paths.unionByName(added)
