@@ -28,7 +28,7 @@ from airlane.llm.common import prepare, scratch, stored, text_hash, texts_of
 #: A record file is closed beyond this many bytes.
 FILE_BYTES = 64 << 20
 #: Entries of a worker's cache of encoded words; it is emptied when full. Its longest word in bytes.
-CACHE_ROWS, _LONG_WORD = 800_000, 48
+CACHE_ROWS, _LONG_WORD = 1_200_000, 48
 #: ASCII letters and one mark, which the tokenizer always splits.
 _MARKED = re.compile(rb"([a-z]+)([.,;:!?])")
 
@@ -90,26 +90,47 @@ class WordEncoder:
         got = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
 
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """As `encode`, for words without white space: as one text, whose tokens' offsets tell the words apart."""
+        plain = [w for w in words if w.isascii()]
+        if not plain:
+            return self.encode(words)
+        got = self.tokenizer.encode(b" ".join(plain).decode(), add_special_tokens=False)
+        begins = np.cumsum([0, *[len(w) + 1 for w in plain]])[:-1]
+        starts = np.fromiter((a for a, _ in got.offsets), dtype=np.int64, count=len(got))
+        ids, cuts = np.array(got.ids, dtype="<u4").tobytes(), [*(4 * np.searchsorted(starts, begins)).tolist(), 4 * len(got)]
+        out = {w: ids[a:b] for w, a, b in zip(plain, cuts, cuts[1:])}
+        other = [w for w in words if not w.isascii()]
+        out.update(zip(other, self.encode(other)))
+        return [out[w] for w in words]
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         # The tokenizer lower-cases; doing that for A-Z first lets spellings share an entry.
         low = [t.lower() for t in texts]
         cut = [t.split() if self.by_word and not any(s in t for s in self.specials) else None for t in low]
-        missing = {w for words in cut if words for w in words}
-        if len(self.cache) + len(missing) > self.cache_rows:
-            self.cache.clear()
-        missing.difference_update(self.cache)
-        marked = {w: m.groups() for w in missing if (m := _MARKED.fullmatch(w))}
-        halves = {half for pair in marked.values() for half in pair}
-        new = list((missing - marked.keys()) | (halves - self.cache.keys()))
-        self.cache.update(zip(new, self.encode(new)))
-        self.cache.update((w, self.cache[a] + self.cache[b]) for w, (a, b) in marked.items())
+        cache, here, marked = self.cache, {}, {}
+        for w in set().union(*[words for words in cut if words]):
+            ids = cache.get(w)
+            if ids is not None:
+                here[w] = ids
+            elif m := _MARKED.fullmatch(w):
+                marked[w] = m.groups()
+            else:
+                here[w] = b""
+        new = [w for w, ids in here.items() if not ids]
+        new += {h for pair in marked.values() for h in pair if h not in here and h not in cache}
+        learned = dict(zip(new, self.encode_words(new)))
+        here.update(learned)
+        if len(cache) + len(new) > self.cache_rows:
+            held = {h: cache[h] for pair in marked.values() for h in pair if h in cache}
+            cache.clear()
+            here = held | here
+        cache.update((w, ids) for w, ids in learned.items() if len(w) <= _LONG_WORD)
+        for w, pair in marked.items():
+            here[w] = b"".join(here[h] if h in here else cache[h] for h in pair)
         whole = iter(self.encode([t for t, words in zip(texts, cut) if words is None]))
-        get = self.cache.__getitem__
-        out = [next(whole) if words is None else b"".join(map(get, words)) for words in cut]
-        for w in missing.union(new):
-            if len(w) > _LONG_WORD:
-                del self.cache[w]
-        return out
+        get = here.__getitem__
+        return [next(whole) if words is None else b"".join(map(get, words)) for words in cut]
 
 
 @lru_cache(maxsize=1)
