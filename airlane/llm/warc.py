@@ -2,12 +2,14 @@
 
 Headers are narrow rows without payloads. They are aggregated by payload digest to choose each
 payload's response record; the other records join it and are written as revisits without their
-payload. Archives are written whole by tasks, with fresh headers, and read back the same way.
+payload. Archives are written whole by tasks, with fresh headers and every record a gzip member of its
+own, and read back the same way.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import uuid
@@ -132,7 +134,7 @@ def write_archives(pages: DataFrame, uri: str, least_bytes: int = LEAST_BYTES, f
         def close():
             nonlocal out, number
             out.close()
-            system.move(part, f"{root}/{name}.warc")  # a repeated task replaces its file
+            system.move(part, f"{root}/{name}.warc.gz")  # a repeated task replaces its file
             made.append({"file": name, "records": count})
             out, number = None, number + 1
 
@@ -143,7 +145,7 @@ def write_archives(pages: DataFrame, uri: str, least_bytes: int = LEAST_BYTES, f
                     name, count, size = f"{task.partitionId():06d}-{number:05d}", 0, 0
                     part = f"{root}/.{name}.{task.taskAttemptId()}"
                     out = system.open_output_stream(part)
-                data = record(row, body_of.as_py())
+                data = gzip.compress(record(row, body_of.as_py()), mtime=0)
                 out.write(data)
                 size, count = size + len(data), count + 1
                 if size >= file_bytes:
@@ -168,8 +170,8 @@ def read_archives(spark: SparkSession, files: DataFrame, uri: str) -> DataFrame:
         for batch in batches:
             for name in batch.column("file").to_pylist():
                 rows = []
-                with system.open_input_file(f"{root}/{name}.warc") as raw:
-                    for fields, block in records(io.BufferedReader(raw, 1 << 20)):
+                with system.open_input_file(f"{root}/{name}.warc.gz") as raw:
+                    for fields, block in records(io.BufferedReader(gzip.GzipFile(fileobj=raw, mode="rb"), 1 << 20)):
                         payload = block.partition(b"\r\n\r\n")[2]
                         digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
                         revisit = fields["warc-type"] == "revisit"
