@@ -22,11 +22,15 @@ _ISO_SHAPE = (
 #: Rewrites of other accepted spellings (basic forms, odd separators) to the extended form.
 _ISO_REWRITES = (
     (r"^(\d{4})(\d{2})(\d{2})(?=\D|\z)", "$1-$2-$3"),
+    (r"^(.{10})Z\z", "$1T00:00:00Z"),
     (r"^(.{10})(?s:.)", "$1T"),
-    (r"T(\d{2})(\d{2})(?=\d{2}|[Z+-]|\z)", "T$1:$2"),
-    (r"(T\d{2}:\d{2})(\d{2})", "$1:$2"),
+    (r"T(\d{2})(\d{2})(\d{2})(?=[.,Z+-]|\z)", "T$1:$2:$3"),
+    (r"T(\d{2})(\d{2})(?=[Z+-]|\z)", "T$1:$2"),
     (r"(T\d{2}:\d{2}:\d{2}),", "$1."),
     (r"(T.*[+-]\d{2})(\d{2})\z", "$1:$2"),
+    # The cast wants whole times before an offset.
+    (r"(T\d{2})(?=Z|[+-])", "$1:00"),
+    (r"(T\d{2}:\d{2})(?=Z|[+-])", "$1:00"),
 )
 
 

@@ -110,38 +110,16 @@ def _newest_first() -> list[Column]:
     return [F.desc("observed_at"), F.desc("kafka_offset"), F.asc("_id")]
 
 
-def _hour() -> Column:
-    """Hour of the observation; a missing time sorts before all others."""
-    hour = F.floor(times.to_millis(F.col("observed_at")) / 3_600_000).cast("bigint")
-    return F.coalesce(hour, F.lit(-(2**62)))
-
-
-def newest_hours(history: DataFrame, limit: int) -> DataFrame:
-    """The hours of every aircraft that its newest ``limit`` rows can fall into."""
-    newer = (
-        Window.partitionBy("icao24").orderBy(F.desc("_hour"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = history.groupBy("icao24", _hour().alias("_hour")).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(newer), F.lit(0))
-    return counted.withColumn("_newer", before).where(F.col("_newer") < limit).select(
-        "icao24", "_hour"
-    )
-
-
 def history_top_n(history: DataFrame, limit: int = HISTORY_LIMIT_DEFAULT) -> DataFrame:
     """Newest rows of every aircraft, numbered in ``rank``.
 
-    A count per aircraft and hour, from two columns, tells which hours can matter; only their
-    rows are shuffled and ranked. The limit is within Spark's window-group limit, so each task
-    also keeps at most ``limit`` rows per aircraft before that shuffle.
+    The limit is within Spark's window-group limit, so the scan's tasks keep at most ``limit`` rows
+    per aircraft before the only shuffle.
     """
     check_limit(limit, HISTORY_LIMIT_MAX)
     newest = Window.partitionBy("icao24").orderBy(*_newest_first())
-    rows = public(history).withColumn("_hour", _hour())
-    kept = rows.join(newest_hours(history, limit), ["icao24", "_hour"], "left_semi")
-    ranked = kept.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= limit)
-    return ranked.select(*PUBLIC_COLUMNS, "rank")
+    ranked = public(history).withColumn("rank", F.row_number().over(newest))
+    return ranked.where(F.col("rank") <= limit).select(*PUBLIC_COLUMNS, "rank")
 
 
 def ground_counts() -> list[Column]:

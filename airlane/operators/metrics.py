@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airlane.functions import times
 from airlane.operators.sequence import previous
@@ -204,16 +205,24 @@ def throughput(events: DataFrame, ts: str = "ts", window_minutes: int = 5) -> Da
 
 
 def percent_used(samples: DataFrame, available: str, total: str,
-                 on: Sequence[str]) -> DataFrame:
-    """``100 * (1 - available / total)`` of two gauges matched on time and labels ``on``.
+                 on: Sequence[str] | None = None) -> DataFrame:
+    """``100 * (1 - available / total)`` of two gauges matched on ``on``, by default on all labels and time.
 
-    Both gauges are gathered by one grouping; a match that lacks either is left out.
+    Both gauges are gathered by one grouping; a match that lacks either is left out. Two samples of
+    one gauge under one match are an error, as they are two series or a repeated one.
     """
-    def gauge(metric: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, F.col("value")))
+    on = [c for c in samples.columns if c not in ("metric", "value")] if on is None else list(on)
 
-    matched = samples.where(F.col("metric").isin(available, total)).groupBy(*on).agg(
-        gauge(available).alias("_a"), gauge(total).alias("_b")
+    def gauge(metric: str) -> Column:
+        is_own = F.col("metric") == metric
+        several = F.raise_error(F.lit(f"{metric} has several series under one match of {', '.join(on)}"))
+        return F.when(F.count_if(is_own) > 1, several.cast("double")).otherwise(
+            F.max(F.when(is_own, F.col("value"))))
+
+    keys = {c: F.to_json(c) if isinstance(samples.schema[c].dataType, T.MapType) else F.col(c) for c in on}
+    keyed = samples.withColumns({f"_on_{c}": k for c, k in keys.items()})
+    matched = keyed.where(F.col("metric").isin(available, total)).groupBy(*[f"_on_{c}" for c in on]).agg(
+        *[F.first(c).alias(c) for c in on], gauge(available).alias("_a"), gauge(total).alias("_b")
     ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
     return matched.select(
         *on, (100 * (1 - F.try_divide(F.col("_a"), F.col("_b")))).alias("percent")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +18,6 @@ def read_table(spark: SparkSession, path: str, schema=STORED_SCHEMA) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over at least as many tasks as there are cores.
-
-    Only an input with fewer splits than cores is redistributed, ahead of work that is
-    heavy per row; a large input already has more splits and is left as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def append_history(rows: DataFrame, path: str) -> None:
     """Append history rows by ingestion date, ordered so that row groups prune by aircraft.
 
@@ -42,6 +34,28 @@ def append_history(rows: DataFrame, path: str) -> None:
     )
 
 
+def stored_ids(spark: SparkSession, path: str, since: date | None = None) -> DataFrame | None:
+    """Ids of stored history ingested on ``since`` or later, None when nothing is stored."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root) or not len(files.listStatus(root)):
+        return None
+    rows = spark.read.schema("_id STRING, ingest_date DATE").parquet(path)
+    return (rows if since is None else rows.where(F.col("ingest_date") >= F.lit(since))).select("_id")
+
+
+def drop_expired(spark: SparkSession, path: str, before: datetime) -> list[str]:
+    """Delete the date directories that lie wholly before a time; returns their dates."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+    dates = [n.removeprefix("ingest_date=") for n in names if n.startswith("ingest_date=2")]
+    expired = sorted(d for d in dates if date.fromisoformat(d) < before.date())
+    for day in expired:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/ingest_date={day}"), True)
+    return expired
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed snapshot versions under a path, oldest first."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -8,6 +8,7 @@ first attempt wrote, so delivery is at least once with idempotent effects.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,46 +20,52 @@ from airlane.schemas import HISTORY_RETENTION_HOURS, LIVE_RETENTION_HOURS, STORE
 from airlane.sources import log, tables
 
 
-def batch_time():
-    """Time of the current micro-batch, the same on every retry of it."""
-    return times.instant_to_utc(F.current_timestamp())
+def log_time():
+    """When the log took a record: the same in every sink and on every retry."""
+    return times.instant_to_utc(F.col("timestamp"))
 
 
 def valid_events(messages: DataFrame) -> DataFrame:
-    return validate.valid(validate.validate(messages, batch_time()))
+    return validate.valid(validate.validate(messages, log_time()))
 
 
-def new_history(messages: DataFrame,
-                horizon_hours: int | None = HISTORY_RETENTION_HOURS) -> DataFrame:
-    """Valid events whose id was not seen within the horizon.
+def write_history(batch: DataFrame, path: str, horizon_hours: int | None = HISTORY_RETENTION_HOURS,
+                  retention_hours: int | None = None) -> None:
+    """Append the batch's valid events whose ids are not stored yet.
 
-    The watermark runs on the log's own timestamps: no payload can move it, and rows that
-    are merely observed late stay. Messages further behind than the horizon are dropped;
-    the log itself keeps no longer than that. ``None`` remembers every id instead.
+    Every event is stored, however far behind others its log partition is. An id counts as stored
+    if it stands in a date directory not older than ``horizon_hours`` before the batch's oldest
+    ingestion (``None``: in any), so repeating a batch adds nothing. With ``retention_hours``,
+    date directories that ended longer ago than that, by the newest log time of the batch, are
+    deleted.
     """
-    events = history.with_identity(valid_events(messages))
-    if horizon_hours is None:
-        return events.dropDuplicates(["_id"])
-    watermarked = events.withWatermark("timestamp", f"{horizon_hours} hours")
-    return watermarked.dropDuplicatesWithinWatermark(["_id"])
+    spark = batch.sparkSession
+    rows = history.history(valid_events(batch)).persist()
+    try:
+        oldest, newest = rows.agg(
+            F.min("ingested_at"), F.max(times.instant_to_utc(F.col("timestamp")))).first()
+        if oldest is None:
+            return
+        since = None if horizon_hours is None else (oldest - timedelta(hours=horizon_hours)).date()
+        known = tables.stored_ids(spark, path, since)
+        new = rows if known is None else rows.join(known, "_id", "left_anti")
+        tables.append_history(new.select(*STORED_SCHEMA.names, "extra"), path)
+        if retention_hours is not None:
+            tables.drop_expired(spark, path, newest - timedelta(hours=retention_hours))
+    finally:
+        rows.unpersist()
 
 
 def start_history(messages: DataFrame, path: str, checkpoint: str,
                   horizon_hours: int | None = HISTORY_RETENTION_HOURS,
                   retention_hours: int | None = None, **trigger) -> StreamingQuery:
-    """Append new history to date-partitioned files; the file sink commits exactly once.
+    """Keep the history up to date, see `write_history`; files are laid out as in batch."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_history(batch, path, horizon_hours, retention_hours)
 
-    With ``retention_hours`` the sink forgets files committed longer ago than that, so
-    readers of the path no longer see them.
-    """
-    rows = new_history(messages, horizon_hours).select(
-        *STORED_SCHEMA.names, "extra", F.to_date("ingested_at").alias("ingest_date")
-    )
-    sink = rows.writeStream.format("parquet").outputMode("append").partitionBy("ingest_date")
-    if retention_hours is not None:
-        sink = sink.option("retention", f"{retention_hours} hours")
     return (
-        sink.option("path", path).option("checkpointLocation", checkpoint)
+        messages.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
@@ -74,14 +81,13 @@ def write_batch(batch: DataFrame, batch_id: int, live_path: str,
     batch numbers, so a live path belongs to one checkpoint.
     """
     spark = batch.sparkSession
-    now = times.instant_to_utc(F.current_timestamp())
-    classified = validate.validate(batch, now).persist()
+    classified = validate.validate(batch, log_time()).persist()
     try:
-        envelopes = deadletter.envelopes(validate.rejected(classified), consumer_group, now)
+        envelopes = deadletter.envelopes(validate.rejected(classified), consumer_group, log_time())
         dead_letters(deadletter.to_messages(envelopes), batch_id)
         current = tables.read_live(spark, live_path, before=batch_id)
         merged = latest.merge_into(current, validate.valid(classified))
-        kept = retention.retain_by_age(merged, now, live_retention_hours)
+        kept = retention.retain_by_age(merged, times.instant_to_utc(F.current_timestamp()), live_retention_hours)
         tables.write_live(kept, live_path, batch_id)
         tables.drop_old_versions(spark, live_path, keep_versions)
     finally:

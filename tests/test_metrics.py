@@ -97,6 +97,11 @@ def test_ratio_and_busy(spark):
     found = {r.ts: r.percent
              for r in metrics.percent_used(a.union(b), "a", "b", ["ts"]).collect()}
     assert found == {T0: 75.0, T0 + timedelta(seconds=1): None}
+    a = samples(spark, [(0, {"d": "x"}, 10), (0, {"d": "y"}, 90)], "a")
+    b = samples(spark, [(0, {"d": "x"}, 100), (0, {"d": "y"}, 100)], "b")
+    assert sorted(r.percent for r in metrics.percent_used(a.union(b), "a", "b").collect()) == pytest.approx([10, 90])
+    with pytest.raises(Exception, match="several series"):
+        metrics.percent_used(a.union(b), "a", "b", ["ts"]).collect()
     idle = samples(spark, [(0, {"i": "n"}, 0), (240, {"i": "n"}, 150)])
     assert metrics.percent_busy(idle, ["i"]).first().percent == 50.0
 

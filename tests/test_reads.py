@@ -237,3 +237,17 @@ def test_keyed_redaction(spark):
     assert out["headers"] == {"Authorization": "[REDACTED]", "n": 1}
     assert out["m"] == {"api_token": "[REDACTED]", "k": "[2]"}
     assert out["items"] == [{"password": "[REDACTED]", "note": "Bearer [REDACTED]"}]
+
+
+def test_top_n_plan_cuts_before_the_shuffle(spark):
+    """The partial group limit stands below the only exchange."""
+    from airlane.plans import views
+
+    frame = live.history_top_n(views.positions(spark, "/root/testdata/sf0.001"), 20)
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    executed = frame._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    below = executed[executed.index("Exchange hashpartitioning"):]
+    assert "WindowGroupLimit" in below and "Partial" in below
+    most = frame.groupBy("icao24").count().agg({"count": "max"}).first()[0]
+    assert most <= 20

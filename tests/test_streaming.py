@@ -1,7 +1,7 @@
 """Streaming jobs on a file-backed log with the log reader's columns."""
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,12 +139,31 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
 
     writer.start_history(log.stream_files(spark, path, 1), str(tmp_path / "history"),
-                         str(tmp_path / "ch"), None, **ONCE).awaitTermination(200)
+                         str(tmp_path / "ch"), **ONCE).awaitTermination(200)
     found = tables.read_table(spark, str(tmp_path / "history")).select("_id", "kafka_offset")
     expected = history.history(events).select("_id", "kafka_offset")
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
 
 
+def test_history_keeps_every_event(spark, tmp_path):
+    """A partition days behind and a clock in the future lose nothing; repeating a batch adds nothing."""
+    path, day = str(tmp_path / "history"), timedelta(days=1)
+    start = datetime(2024, 1, 10, tzinfo=timezone.utc)
+    shifts = [start, start + 300 * day, start - 3 * day, start - 3 * day]
+    rows = []
+    for i, stamp in enumerate(shifts):
+        body = event(event_id=f"00000000-0000-4000-8000-00000000010{min(i, 2)}", ingested_at=None)
+        rows.append((*record(body, i, i % 2)[:5], stamp, 1, []))
+    batches = [spark.createDataFrame([r], MESSAGE_SCHEMA) for r in rows]
+    for batch in [*batches, batches[1], batches[3]]:
+        writer.write_history(batch, path)
+    found = tables.read_table(spark, path).orderBy("kafka_offset").collect()
+    assert [r.kafka_offset for r in found] == [0, 1, 2]
+    assert [r.ingested_at for r in found] == [s.replace(tzinfo=None) for s in shifts[:3]]
+    assert tables.drop_expired(spark, path, datetime(2024, 1, 8)) == ["2024-01-07"]
+    assert tables.read_table(spark, path).count() == 2
+
+
 def test_latest_states_in_complete_mode(spark, tmp_path):
     path = str(tmp_path / "log")
     deliver(spark, path, 0, NEW, OLD, event(icao24="00000b", observed_at=NOW))

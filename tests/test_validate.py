@@ -1,6 +1,6 @@
 import base64
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +120,10 @@ def test_typed_event(spark):
     ("2024-01-01T123045,5Z", datetime(2024, 1, 1, 12, 30, 45, 500000)),
     ("2024-01-01T12:30:45-0130", datetime(2024, 1, 1, 14, 0, 45)),
     ("2024-01-01T12:30:45.999999", datetime(2024, 1, 1, 12, 30, 45, 999000)),
+    ("2024-01-01T00:00Z", datetime(2024, 1, 1)), ("2024-01-01T00:00+03:00", datetime(2023, 12, 31, 21)),
+    ("20240101T0000Z", datetime(2024, 1, 1)), ("2024-01-01T00Z", datetime(2024, 1, 1)),
+    ("2024-01-01T00:00+0530", datetime(2023, 12, 31, 18, 30)), ("2024-01-01Z", datetime(2024, 1, 1)),
+    ("2024-01-01T00:0000", None),
     ("0000-01-01", None), ("2024-01-01T", None), ("2024-01-01T25:00", None), ("", None),
 ])
 def test_iso_times(spark, text, expected):
@@ -127,6 +131,25 @@ def test_iso_times(spark, text, expected):
     assert row[0] == expected
 
 
+def test_iso_grid(spark):
+    """Date form x separator x precision x zone, as Python's own parser reads them."""
+    texts = [day + sep + clock + zone
+             for day in ("2024-02-29", "20240229") for sep in "T _"
+             for clock in ("07", "07:08", "0708", "07:08:09", "070809", "07:08:09.5", "070809.123456", "07:08:09,25", "24:00", "07:60")
+             for zone in ("", "Z", "+00:00", "-03:30", "+0530", "+02")]
+
+    def expected(text):
+        try:
+            read = datetime.fromisoformat(text)
+        except ValueError:
+            return None
+        utc = read.astimezone(timezone.utc).replace(tzinfo=None) if read.tzinfo else read
+        return utc.replace(microsecond=utc.microsecond // 1000 * 1000)
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING").select("t", times.parse_iso(F.col("t"))).collect()
+    assert {r[0]: r[1] for r in rows} == {t: expected(t) for t in texts}
+
+
 def test_split_is_complete(spark):
     rows = classify(spark, [value for value, _ in CASES])
     good, bad = validate.valid(rows).count(), validate.rejected(rows).count()
@@ -169,4 +192,4 @@ def test_realtime_check_is_weaker(spark):
 def test_identity(spark):
     rows = history.with_identity(validate.valid(classify(spark, [event(), event(event_id=...)])))
     ids = [r._id for r in rows.orderBy("kafka_offset").collect()]
-    assert ids == ["00000000-0000-4000-8000-000000000001", "aircraft.positions.raw.v1:0:1"]
+    assert ids == ["00000000-0000-4000-8000-000000000001", "positions.test:0:1"]
