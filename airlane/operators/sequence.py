@@ -27,12 +27,13 @@ def _earlier(keys: Sequence[str], chunk: Sequence[str], descending: bool) -> Win
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _with_carry(rows: DataFrame, carry: DataFrame, on: Sequence[str]) -> DataFrame:
-    matches = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in on]
-    condition = matches[0]
-    for match in matches[1:]:
-        condition = condition & match
-    return rows.alias("r").join(carry.alias("c"), condition, "left").select("r.*", "c._carry")
+def _key(keys: Sequence[str], chunk: Sequence[str]) -> Column:
+    """Key and chunk as one value that is never null, so that join and window share a shuffle."""
+    return F.struct(*keys, *chunk)
+
+
+def _with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    return rows.join(carry, "_key", "left")
 
 
 def running_before(
@@ -54,17 +55,17 @@ def running_before(
     rows = rows.withColumn("_value", value)
     summary = rows.groupBy(*keys, *chunk).agg(aggregate("_value").alias("_chunk_value"))
     carry = summary.select(
-        *keys, *chunk,
+        _key(keys, chunk).alias("_key"),
         aggregate("_chunk_value").over(_earlier(keys, chunk, descending)).alias("_carry"),
     )
     inside = (
-        Window.partitionBy(*keys, *chunk).orderBy(*order)
+        Window.partitionBy("_key").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        _with_carry(rows, carry, [*keys, *chunk])
+        _with_carry(rows.withColumn("_key", _key(keys, chunk)), carry)
         .withColumn(name, combine(F.col("_carry"), aggregate("_value").over(inside)))
-        .drop("_value", "_carry")
+        .drop("_value", "_carry", "_key")
     )
 
 
@@ -86,12 +87,12 @@ def previous(
     rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     summary = rows.groupBy(*keys, *chunk).agg(*(F.max_by(f, rank).alias(f) for f in fields))
     carry = summary.select(
-        *keys, *chunk,
+        _key(keys, chunk).alias("_key"),
         F.lag(item).over(Window.partitionBy(*keys).orderBy(*chunk)).alias("_carry"),
     )
-    inside = Window.partitionBy(*keys, *chunk).orderBy(*order)
+    inside = Window.partitionBy("_key").orderBy(*order)
     return (
-        _with_carry(rows, carry, [*keys, *chunk])
+        _with_carry(rows.withColumn("_key", _key(keys, chunk)), carry)
         .withColumn(name, F.coalesce(F.lag(item).over(inside), F.col("_carry")))
-        .drop("_carry")
+        .drop("_carry", "_key")
     )

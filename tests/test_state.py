@@ -157,3 +157,19 @@ def test_feed_without_snapshot_row(spark):
 def test_unknown_tie_rule():
     with pytest.raises(ValueError):
         latest.recency("middle")
+
+
+def test_carry_and_window_share_one_shuffle(spark):
+    """Of the wide rows: one exchange by key and chunk, however the carry is joined."""
+    from airlane.operators.sequence import running_before
+
+    rows = spark.range(1000).selectExpr("id % 7 AS k", "id DIV 100 AS c", "id AS o", "repeat('x', 50) AS wide", "id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = running_before(rows, ["k"], ["c"], [F.col("o")], F.col("v"), F.max, "before")
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows, the chunk summaries, their window and its join: the rows are dealt once.
+    assert plan.count("Exchange hashpartitioning(_key") == 2
+    assert plan.index("Window") < plan.index("SortMergeJoin") < plan.index("Exchange")
