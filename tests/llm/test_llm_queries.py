@@ -54,6 +54,22 @@ def test_toxicity_finds_labelled_documents(llm):
     assert sum(right) >= 0.97 * len(right)
 
 
+def test_toxicity_on_held_out_labels(llm):
+    from pyspark.sql import functions as F
+
+    from airlane.llm import queries, toxicity
+
+    docs = llm.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = llm.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(3)) == 0
+    chain = toxicity.train(docs, queries.toxicity_labels(labels.where(~held)), queries.CATEGORIES)
+    scored = toxicity.score(docs.join(labels.where(held), "doc_id"), chain, carry=False)
+    n = {(r["toxic"], r["said"]): r["count"] for r in
+         scored.groupBy("toxic", (F.col("p_toxic") > queries.THRESHOLD).alias("said")).count().collect()}
+    assert n[1, True] >= 0.9 * (n[1, True] + n.get((1, False), 0))
+    assert n.get((0, True), 0) <= 0.01 * n[0, False]
+
+
 def test_token_counts(llm, documents):
     from tokenizers import Tokenizer
 
