@@ -135,6 +135,11 @@ def in_area(events: DataFrame, area: str) -> DataFrame:
     box = AREAS[area]
     if box is None:
         return events
+    return in_box(events, box)
+
+
+def in_box(events: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Events inside south, west, north, east, borders included."""
     south, west, north, east = box
     return events.where(
         F.col("latitude").between(south, north) & F.col("longitude").between(west, east)

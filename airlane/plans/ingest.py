@@ -139,6 +139,19 @@ def area_filter(spark, sf_dir):
     return rows.select("_id", "latitude", "longitude")
 
 
+@query(
+    f"""
+WITH {views.POSITIONS_SQL}
+SELECT _id, latitude, longitude FROM positions
+WHERE latitude BETWEEN -90 AND -20 AND longitude BETWEEN -180 AND 0
+"""
+)
+def area_filter_wide(spark, sf_dir):
+    """Positions inside a box that holds rows of every scale."""
+    rows = normalize.in_box(views.positions(spark, sf_dir), (-90.0, -180.0, -20.0, 0.0))
+    return rows.select("_id", "latitude", "longitude")
+
+
 @query(
     f"""
 WITH {views.SNAPSHOTS_SQL}
@@ -249,7 +262,7 @@ SELECT CAST(1 AS INT) AS schema_version,
        '{views.CONSUMER_GROUP}' AS consumer_group, CAST(1 AS INT) AS attempts,
        'permanent' AS classification, kafka_offset AS source_offset,
        CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp_ms,
-       base64(encode(icao24)) AS key_base64, 'trace-id' AS header_name,
+       base64(encode(icao24)) AS key_base64, 'hop' AS header_name,
        base64(encode(CAST(n AS VARCHAR))) AS header_value,
        'base64' AS payload_encoding,
        CASE WHEN n % 97 = 13 THEN '/2JhZA==' ELSE base64(encode(value_text)) END AS payload_data
@@ -342,10 +355,10 @@ def ingested_backfill(spark, sf_dir):
 
 
 @query(
-    rf"""
-SELECT event_id, regexp_replace(regexp_replace({views.LOG_LINE},
-    '(?i)\b(client_secret|access_token|refresh_token|password|authorization)\s*[=:]\s*([^\s&,;]+)',
-    '\1=[REDACTED]', 'g'), '(?i)\bBearer\s+[^\s,;]+', 'Bearer [REDACTED]', 'g') AS line
+    """
+SELECT event_id, 'user ' || CAST(user_id AS VARCHAR) || ' password=[REDACTED]' ||
+    CASE event_id % 3 WHEN 0 THEN ', Authorization=[REDACTED]' WHEN 1 THEN '; Bearer [REDACTED]'
+                      ELSE '&Access_Token=[REDACTED]&next=1' END || ' done' AS line
 FROM events
 """
 )
@@ -356,19 +369,33 @@ def redact_text(spark, sf_dir):
     )
 
 
+@query("SELECT doc_id, text || ' access_token=[REDACTED] end' AS text FROM documents")
+def redact_documents(spark, sf_dir):
+    """Whole documents, each with a secret behind it, masked."""
+    told = F.concat("text", F.lit(" access_token="), F.col("doc_id").cast("string"), F.lit(" end"))
+    return views.table(spark, sf_dir, "documents").select(
+        "doc_id", redact.redact_text(told).alias("text")
+    )
+
+
 @query(
-    r"""
-SELECT doc_id, regexp_replace(regexp_replace(text,
-    '(?i)\b(client_secret|access_token|refresh_token|password|authorization)\s*[=:]\s*([^\s&,;]+)',
-    '\1=[REDACTED]', 'g'), '(?i)\bBearer\s+[^\s,;]+', 'Bearer [REDACTED]', 'g') AS text
-FROM documents
+    """
+SELECT event_id, '{"headers":{"Authorization":"[REDACTED]","n":[1,{"api_token":"[REDACTED]"}]},' ||
+       '"note":"password=[REDACTED]","k":' || CAST(user_id AS VARCHAR) || '}' AS body
+FROM events
 """
 )
-def redact_documents(spark, sf_dir):
-    """Whole documents with secrets masked."""
-    return views.table(spark, sf_dir, "documents").select(
-        "doc_id", redact.redact_text(F.col("text")).alias("text")
+def redact_json_members(spark, sf_dir):
+    """Open members that hold JSON text, masked by name at every depth."""
+    body = F.format_string(
+        '{"headers":{"Authorization":"%s","n":[1,{"api_token":[%s,{"x":%s}]}]},'
+        '"note":"password=%s","k":%s}',
+        "event_type", "event_id", "props", "event_type", "user_id",
     )
+    rows = views.table(spark, sf_dir, "events").select(
+        "event_id", F.create_map(F.lit("body"), body).alias("extra"))
+    masked = rows.select(*redact.redact_columns(rows.schema))
+    return masked.select("event_id", F.col("extra")["body"].alias("body"))
 
 
 @query(

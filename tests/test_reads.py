@@ -226,19 +226,36 @@ def test_redaction(spark):
 
 
 def test_keyed_redaction(spark):
-    row = spark.sql("""SELECT '4baa12' AS icao24, 'x' AS client_secret,
+    row = spark.sql("""SELECT 'c0ffe1' AS icao24, 'x' AS client_secret,
         named_struct('raw', 1) AS raw_payload,
         named_struct('Authorization', 'y', 'n', 1) AS headers,
         map('api_token', array(1), 'k', array(2)) AS m,
         array(named_struct('password', 'z', 'note', 'Bearer abc')) AS items""")
     out = row.select(*redact.redact_columns(row.schema)).first().asDict(recursive=True)
-    assert out["icao24"] == "4baa12"
+    assert out["icao24"] == "c0ffe1"
     assert out["client_secret"] == out["raw_payload"] == "[REDACTED]"
     assert out["headers"] == {"Authorization": "[REDACTED]", "n": 1}
     assert out["m"] == {"api_token": "[REDACTED]", "k": "[2]"}
     assert out["items"] == [{"password": "[REDACTED]", "note": "Bearer [REDACTED]"}]
 
 
+@pytest.mark.parametrize("text, expected", [
+    ('{"headers":{"Authorization":"abc"}}', '{"headers":{"Authorization":"[REDACTED]"}}'),
+    ('[{"a":1,"X-Api-Token" : {"k":[1,{"s":"}]"}]},"z":"t"}]', '[{"a":1,"X-Api-Token" : "[REDACTED]","z":"t"}]'),
+    ('{"password":12,"b":true}', '{"password":"[REDACTED]","b":true}'),
+    ('{"a\\"token\\"":null}', '{"a\\"token\\"":"[REDACTED]"}'),
+    ('{"a":"password=q\\"r s","b":"bearer t"}', '{"a":"password=[REDACTED] s","b":"Bearer [REDACTED]"}'),
+    ('{"a":"the token","b":"token"}', '{"a":"the token","b":"token"}'),
+    ('[log] password="x y"', '[log] password=[REDACTED] y"'),
+    ('{"secret":' + "[" * 40 + "1" + "]" * 40 + ',"b":1}', '{"secret":"[REDACTED]"'),
+    ('{"n":"' + "x" * 200_000 + '","secret":"' + "\\n" * 100_000 + '"}',
+     '{"n":"' + "x" * 200_000 + '","secret":"[REDACTED]"}'),
+])
+def test_json_text_redaction(spark, text, expected):
+    rows = spark.createDataFrame([({"m": text},)], "extra MAP<STRING, STRING>")
+    assert rows.select(*redact.redact_columns(rows.schema)).first().extra["m"] == expected
+
+
 def test_top_n_plan_cuts_before_the_shuffle(spark):
     """The partial group limit stands below the only exchange."""
     from airlane.plans import views
