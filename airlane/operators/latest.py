@@ -96,7 +96,11 @@ def live_merged(
     An accepted event overrides exactly the members it carries: an explicit null
     overwrites, an absent member keeps the earlier value. ``present`` tells the two apart.
     """
-    rows = accepted(events, chunk_size, arrival)
+    return fold(accepted(events, chunk_size, arrival), fields)
+
+
+def fold(rows: DataFrame, fields: Sequence[str] = OPTIONAL_FIELDS) -> DataFrame:
+    """One document per aircraft from its accepted events."""
     newest = F.col("observed_at")
     always = ["longitude", "latitude", "ingested_at", *(name for name, _ in LOG_FIELDS)]
     merged = rows.groupBy(KEY).agg(
@@ -110,31 +114,63 @@ def live_merged(
     return merged.withColumn("_id", F.col(KEY))
 
 
+def accepted_after(live_table: DataFrame, events: DataFrame,
+                   chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
+    """Stored rows, as events that carry every member (``_turn`` 0), and what a batch adds (1)."""
+    columns = [c for c in live_table.columns if c != "_id"]
+    carried = F.struct(*(F.lit(True).alias(name) for name in OPTIONAL_FIELDS))
+    before = live_table.select(*columns, carried.alias("present"), F.lit(0).alias("_turn"))
+    batch = events.select(*columns, "present", "extra", F.lit(1).alias("_turn"))
+    both = before.unionByName(batch, allowMissingColumns=True)
+    return accepted(both, chunk_size, ("_turn", *ARRIVAL))
+
+
 def merge_into(live_table: DataFrame, events: DataFrame,
                chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
     """Live table after a further batch of events, under the document-merge rule.
 
-    The stored row counts as one event that precedes the batch and carries every member.
+    Merging a batch again changes nothing: none of its events is strictly newer by then.
     """
-    carried = F.struct(*(F.lit(True).alias(name) for name in OPTIONAL_FIELDS))
-    columns = [c for c in live_table.columns if c != "_id"]
-    before = live_table.select(*columns, carried.alias("present"), F.lit(0).alias("_turn"))
-    batch = events.select(*columns, "present", F.lit(1).alias("_turn"))
-    merged = live_merged(
-        before.unionByName(batch), chunk_size=chunk_size, arrival=("_turn", *ARRIVAL)
-    )
-    return merged.select(*live_table.columns)
+    return fold(accepted_after(live_table, events, chunk_size)).select(*live_table.columns)
 
 
-def merged_extra(events: DataFrame, chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
-    """Members outside the typed event under the same merge rule, as ``extra`` maps."""
-    members = accepted(events, chunk_size).select(
-        KEY, "observed_at", F.explode("extra").alias("name", "json")
+def _newest_members(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Newest value of each open member, less originals that a typed value has replaced."""
+    members = rows.select(KEY, F.explode("extra").alias("name", "json"), "observed_at")
+    if before is not None:
+        members = before.select(*members.columns).unionByName(members)
+    newest = members.groupBy(KEY, "name").agg(
+        F.max_by("json", "observed_at").alias("json"), F.max("observed_at").alias("observed_at")
     )
-    newest = members.groupBy(KEY, "name").agg(F.max_by("json", "observed_at").alias("json"))
-    return newest.groupBy(KEY).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "json")))).alias("extra")
+    typed = F.col("name").isin(*OPTIONAL_FIELDS)
+    carried = rows.groupBy(KEY).agg(
+        *(F.max(F.when(F.col(f"present.{n}"), F.col("observed_at"))).alias(n) for n in OPTIONAL_FIELDS)
+    ).unpivot([KEY], list(OPTIONAL_FIELDS), "name", "_carried").where("_carried IS NOT NULL")
+    originals = (
+        newest.where(typed).join(carried, [KEY, "name"], "left")
+        .where("_carried IS NULL OR _carried <= observed_at").drop("_carried")
     )
+    return newest.where(~typed).unionByName(originals)
+
+
+def merged_members(events: DataFrame, chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
+    """``icao24, name, json, observed_at``: the live table's open members under the merge rule.
+
+    One row per member, since the names that a producer may use are unbounded. Originals of
+    mistyped members last until an event carries the member again.
+    """
+    return _newest_members(accepted(events, chunk_size))
+
+
+def merge_members(members: DataFrame, taken: DataFrame) -> DataFrame:
+    """Open members after a further batch, of which ``accepted_after`` left ``taken``."""
+    return _newest_members(taken.where("_turn = 1"), members)
+
+
+def extra_map(members: DataFrame) -> DataFrame:
+    """``icao24, extra``: the members of each aircraft as a map, for documents written or read whole."""
+    entries = F.sort_array(F.collect_list(F.struct("name", "json")))
+    return members.groupBy(KEY).agg(F.map_from_entries(entries).alias("extra"))
 
 
 def merge_feed(snapshot: DataFrame, updates: DataFrame) -> DataFrame:

@@ -164,9 +164,10 @@ def has_valid_position() -> Column:
     return payload.finite(F.col("latitude")) & payload.finite(F.col("longitude"))
 
 
-def table_rows(feed: DataFrame, limit: int = TABLE_ROWS) -> DataFrame:
-    """Head of the feed in its own order."""
-    return feed.orderBy(
+def table_rows(feed: DataFrame, as_of, text: str = "", limit: int = TABLE_ROWS,
+               window_minutes: int = LIVE_WINDOW_MINUTES) -> DataFrame:
+    """Head of the live rows of the feed that match a search, in the feed's order."""
+    return search(recent(feed, as_of, window_minutes), text).orderBy(
         F.coalesce(F.col("observed_at"), F.expr(times.EPOCH)).desc(), F.col("icao24")
     ).limit(limit)
 

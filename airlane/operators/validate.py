@@ -167,14 +167,31 @@ def _typed(field: T.StructField) -> Column:
     return payload.number(value, F.schema_of_variant(value)).cast(field.dataType)
 
 
-def _other_members() -> Column:
-    """Members outside the typed event as a map of JSON text, null when there are none."""
+def _lost(name: str) -> Column:
+    """Whether an optional member holds a value that its typed column does not."""
+    kind, value = EVENT_SCHEMA[name].dataType, F.col(name)
+    differs = value.isNull()
+    if isinstance(kind, T.IntegralType):
+        differs = differs | (_member(name, "double") != value)
+    return _member(name).isNotNull() & ~payload.is_json_null(_member(name)) & differs
+
+
+def _other_members(mistyped) -> Column:
+    """JSON text of the members outside the typed event, and of those whose typed column lost them.
+
+    A map, null when there are none.
+    """
     members = F.try_variant_get(_doc(), "$[0]", "map<string,variant>")
     known = [f.name for f in EVENT_SCHEMA]
-    other = F.map_filter(members, lambda k, _: ~k.isin(*known))
-    return F.when(
-        F.size(other) > 0, F.transform_values(other, lambda _, v: F.to_json(v))
+    other = F.transform_values(
+        F.map_filter(members, lambda k, _: ~k.isin(*known)), lambda _, v: F.to_json(v)
     )
+    originals = F.array_compact(F.array(*(
+        F.when(_lost(n), F.struct(F.lit(n).alias("name"), F.to_json(_member(n)).alias("json")))
+        for n in mistyped
+    )))
+    every = F.map_concat(other, F.map_from_entries(originals))
+    return F.when(F.size(every) > 0, every)
 
 
 def validate(messages: DataFrame, as_of) -> DataFrame:
@@ -182,9 +199,11 @@ def validate(messages: DataFrame, as_of) -> DataFrame:
 
     Output: the message columns (log coordinates renamed ``kafka_*``), every typed event
     field, ``present`` (which optional fields the document carries), ``extra`` (all other
-    members) and ``error_code``. ``as_of`` stands in for a missing ``ingested_at``.
+    members, and the original of a typed member whose value is of another JSON type) and
+    ``error_code``. ``as_of`` stands in for a missing ``ingested_at``.
     """
     optional = [name for name in OPTIONAL_FIELDS if name not in _RULED]
+    odd = ["schema_version", "on_ground"]  # a boolean version and a numeric ground state pass
     derived = {
         "schema_version": F.col("_version").cast("int"),
         "event_id": F.col("_uuid"),
@@ -208,17 +227,19 @@ def validate(messages: DataFrame, as_of) -> DataFrame:
         _inspect(decode(messages)),
         messages.columns,
         {**{c: F.col(c) for c in kept}, "error_code": error_code()},
-    ).withColumn("_members", _fetch(optional))
-    return checked.select(
+    ).withColumn("_members", _fetch([*optional, *odd]))
+    typed = checked.select(
         "key", "value", "timestamp", "timestampType", "headers",
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         *events,
         present.alias("present"),
-        _other_members().alias("extra"),
+        "_doc", "_members",
         "error_code",
     )
+    extra = _other_members([*optional, *odd])
+    return typed.withColumn("extra", extra).drop("_doc", "_members")
 
 
 def valid(classified: DataFrame) -> DataFrame:

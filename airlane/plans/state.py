@@ -8,7 +8,7 @@ from airlane.operators import history, latest, live, retention, validate
 from airlane.plans import views
 from airlane.plans.ingest import classified
 from airlane.plans.registry import query
-from airlane.schemas import LIVE_RETENTION_HOURS
+from airlane.schemas import LIVE_RETENTION_HOURS, TABLE_ROWS
 from airlane.sources import archive, tables
 
 #: The reference time of the positions view.
@@ -103,17 +103,19 @@ seen AS (
     SELECT *, max(observed_at) OVER (PARTITION BY icao24 ORDER BY kafka_partition, kafka_offset
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
     FROM good
-)
-SELECT icao24, '"' || last(note ORDER BY kafka_offset) || '"' AS note
-FROM seen WHERE (newest IS NULL OR observed_at > newest) AND note IS NOT NULL
-GROUP BY icao24
+),
+taken AS (SELECT * FROM seen WHERE newest IS NULL OR observed_at > newest),
+truths AS (
+    SELECT icao24, max(kafka_offset) AS carried, max(kafka_offset) FILTER (number_ground) AS original
+    FROM taken WHERE has_ground GROUP BY icao24)
+SELECT icao24, 'note' AS name, '"' || last(note ORDER BY kafka_offset) || '"' AS json
+FROM taken WHERE note IS NOT NULL GROUP BY icao24
+UNION ALL SELECT icao24, 'on_ground', '1' FROM truths WHERE original = carried
 """
 )
 def live_merged_extra(spark, sf_dir):
-    """Members outside the typed event under the same merge rule."""
-    return latest.merged_extra(good(spark, sf_dir)).select(
-        "icao24", F.col("extra")["note"].alias("note")
-    )
+    """Open members under the same merge rule, mistyped originals included."""
+    return latest.merged_members(good(spark, sf_dir)).select("icao24", "name", "json")
 
 
 @query(
@@ -191,12 +193,32 @@ def feed_statistics(spark, sf_dir):
 @query(
     f"""
 WITH {_FEED_SQL}
-SELECT {', '.join(_FEED_COLUMNS)} FROM feed ORDER BY observed_at DESC, icao24 LIMIT 300
+SELECT {', '.join(_FEED_COLUMNS)} FROM feed WHERE observed_at >= {AS_OF} - INTERVAL 720 MINUTE
+ORDER BY observed_at DESC, icao24 LIMIT 300
 """
 )
 def feed_top300(spark, sf_dir):
-    """Head of the merged feed."""
-    return live.table_rows(feed(spark, sf_dir)).select(*_FEED_COLUMNS)
+    """Head of the live part of the merged feed."""
+    return _head(spark, sf_dir, TABLE_ROWS)
+
+
+@query(
+    f"""
+WITH {_FEED_SQL}
+SELECT {', '.join(_FEED_COLUMNS)} FROM feed
+WHERE observed_at >= {AS_OF} - INTERVAL 720 MINUTE AND (contains(lower(origin_country), 'e')
+    OR contains(lower(callsign), 'e') OR contains(icao24, 'e'))
+ORDER BY observed_at DESC, icao24 LIMIT 5
+"""
+)
+def feed_search_top5(spark, sf_dir):
+    """Recency, then search, then the head, short enough to cut."""
+    return _head(spark, sf_dir, 5, " E ")
+
+
+def _head(spark, sf_dir, limit, text=""):
+    as_of = views.newest(views.positions(spark, sf_dir))
+    return live.table_rows(feed(spark, sf_dir), as_of, text, limit, 720).select(*_FEED_COLUMNS)
 
 
 @query(
@@ -222,10 +244,25 @@ WHERE ingested_at > (SELECT max(ingested_at) FROM positions) - INTERVAL 168 HOUR
 )
 def live_retained(spark, sf_dir):
     """Live rows within their longer horizon."""
+    return _retained(spark, sf_dir, LIVE_RETENTION_HOURS)
+
+
+@query(
+    f"""
+WITH {views.POSITIONS_SQL}, {LIVE_SQL}
+SELECT icao24, ingested_at FROM live
+WHERE ingested_at > (SELECT max(ingested_at) FROM positions) - INTERVAL 6 HOUR
+"""
+)
+def live_retained_6h(spark, sf_dir):
+    """Live rows within a horizon that some aircraft have left."""
+    return _retained(spark, sf_dir, 6)
+
+
+def _retained(spark, sf_dir, hours):
     rows = views.positions(spark, sf_dir)
     current = latest.live(rows, ["ingested_at"])
-    as_of = views.newest(rows, "ingested_at")
-    kept = retention.retain_by_age(current, as_of, LIVE_RETENTION_HOURS)
+    kept = retention.retain_by_age(current, views.newest(rows, "ingested_at"), hours)
     return kept.select("icao24", "ingested_at")
 
 

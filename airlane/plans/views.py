@@ -165,7 +165,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kafka_offset AS offset",
         "CAST(ts AS TIMESTAMP) AS timestamp",
         "0 AS timestampType",
-        """array(named_struct('key', 'trace-id',
+        """array(named_struct('key', 'hop',
                 'value', CAST(CAST(event_id AS STRING) AS BINARY))) AS headers""",
     )
 
@@ -214,6 +214,7 @@ msgs AS (
            CASE WHEN event_id % 97 = 16 OR event_type IN ('error', 'view') THEN NULL
                 ELSE event_type = 'signup' END AS on_ground,
            event_id % 97 = 16 OR event_type <> 'error' AS has_ground,
+           event_id % 97 = 16 AS number_ground,
            CASE WHEN event_id % 13 = 0 THEN 'n' || CAST(event_id AS VARCHAR) END AS note,
            date_trunc('milliseconds', obs_ts) AS observed_at,
            CASE WHEN event_id % 97 = 14 THEN (SELECT date_trunc('milliseconds', max(ts)) FROM events)

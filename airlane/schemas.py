@@ -68,6 +68,16 @@ HISTORY_SCHEMA = T.StructType(
     ]
 )
 
+#: Open members of the live documents, a row per aircraft and name.
+MEMBER_SCHEMA = T.StructType(
+    [
+        T.StructField("icao24", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("json", T.StringType()),
+        T.StructField("observed_at", NTZ),
+    ]
+)
+
 #: Columns that public reads return, in order.
 PUBLIC_COLUMNS = (
     "_id",

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airlane.sources import tables as stored
+
 # --- fixed values: archive format ------------------------------------------
 FORMAT, FORMAT_VERSION = "airlane-archive", 1
 COLLECTIONS = ("raw_positions", "live_positions")
@@ -70,10 +71,9 @@ def export_archive(tables: dict[str, DataFrame], path: str, database: str) -> No
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict:
-    try:
-        lines = spark.read.text(f"{path}/manifest").limit(2).collect()
-    except AnalysisException as error:
-        raise ValueError(f"no archive manifest under {path}") from error
+    if not stored.exists(spark, f"{path}/manifest"):
+        raise ValueError(f"no archive manifest under {path}")
+    lines = spark.read.text(f"{path}/manifest").limit(2).collect()
     if len(lines) != 1:
         raise ValueError("archive manifest must hold exactly one line")
     manifest = json.loads(lines[0].value)
@@ -128,24 +128,19 @@ def check_lines(spark: SparkSession, path: str,
     return counts
 
 
-def is_empty(spark: SparkSession, path: str) -> bool:
-    try:
-        return spark.read.parquet(path).isEmpty()
-    except AnalysisException:
-        return True
-
-
 def import_archive(spark: SparkSession, path: str, targets: dict[str, str],
                    replace: bool = False) -> None:
     """Load an archive into table paths, everything checked before anything is written.
 
-    Targets that already hold rows are refused unless ``replace``.
+    History gets its date directories; the live rows become the next snapshot version, so
+    readers and the writer go on from them. Targets that already hold rows are refused unless
+    ``replace``.
     """
     manifest = read_manifest(spark, path)
     if set(targets) != set(COLLECTIONS):
         raise ValueError(f"targets must name exactly {COLLECTIONS}")
     if not replace:
-        filled = [name for name, target in targets.items() if not is_empty(spark, target)]
+        filled = [name for name, target in targets.items() if not stored.is_empty(spark, target)]
         if filled:
             raise ValueError(f"target tables are not empty: {filled}")
     schemas = {n: T.StructType.fromJson(manifest["schemas"][n]) for n in COLLECTIONS}
@@ -157,5 +152,9 @@ def import_archive(spark: SparkSession, path: str, targets: dict[str, str],
         .where(F.col("collection") == name).select("document.*")
         for name in COLLECTIONS
     }
-    for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(targets[name])
+    stored.write_history(tables["raw_positions"], targets["raw_positions"], "overwrite")
+    live = tables["live_positions"]
+    members = None
+    if "extra" in live.columns:
+        members = live.select("icao24", F.explode("extra").alias("name", "json"), "observed_at")
+    stored.write_live(live, targets["live_positions"], members)

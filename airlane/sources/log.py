@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlane.schemas import BATCH_MAX_MESSAGES, MESSAGE_SCHEMA
+from airlane.schemas import BATCH_INTERVAL_MS, BATCH_MAX_MESSAGES, MESSAGE_SCHEMA
 
 
 def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
@@ -39,8 +39,14 @@ def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 1000)
 
 
 def stream_realtime(spark: SparkSession, servers: str, topic: str,
-                    max_messages: int = BATCH_MAX_MESSAGES, **options: str) -> DataFrame:
-    return stream_kafka(spark, servers, topic, "latest", max_messages, **options)
+                    batch_messages: int = BATCH_MAX_MESSAGES,
+                    interval_ms: int = BATCH_INTERVAL_MS, **options: str) -> DataFrame:
+    """Log reader of the realtime feed: a batch starts once that many messages wait, or that late.
+
+    It then takes all that wait, so neither limit slows the reading.
+    """
+    waits = {"minOffsetsPerTrigger": str(batch_messages), "maxTriggerDelay": f"{interval_ms}ms"}
+    return stream_kafka(spark, servers, topic, "latest", **{**waits, **options})
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str, **options: str) -> None:

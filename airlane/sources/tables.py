@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlane.schemas import STORED_SCHEMA
+from airlane.operators import latest
+from airlane.schemas import HISTORY_RETENTION_HOURS, HISTORY_SCHEMA, MEMBER_SCHEMA, STORED_SCHEMA
+
+
+def _location(spark: SparkSession, path: str):
+    """A path and its file system, as Hadoop objects."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _location(spark, path)
+    return files.exists(where)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a directory, none when it does not exist."""
+    root, files = _location(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where, files = _location(spark, path)
+    files.delete(where, True)
 
 
 def read_table(spark: SparkSession, path: str, schema=STORED_SCHEMA) -> DataFrame:
@@ -15,88 +38,132 @@ def read_table(spark: SparkSession, path: str, schema=STORED_SCHEMA) -> DataFram
 
     ``HISTORY_SCHEMA`` also reads the members outside the typed event.
     """
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def append_history(rows: DataFrame, path: str) -> None:
-    """Append history rows by ingestion date, ordered so that row groups prune by aircraft.
+def write_history(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Write history rows by ingestion date, ordered so that row groups prune by aircraft.
 
     The date directories serve retention and age filters; inside a file rows are sorted by
     aircraft and time, which is the access path of history reads. Rebalancing by date gives
     files of the advisory size: small dates share a task and a large one is split, so
-    neither many tiny files nor one oversized task results.
+    neither many tiny files nor one oversized task results. Nothing is checked for being
+    stored already; see `append_history`.
     """
-    dated = rows.withColumn("ingest_date", F.to_date("ingested_at"))
+    kept = [f.name for f in HISTORY_SCHEMA if f.name in rows.columns and f.name != "ingest_date"]
+    dated = rows.select(*kept, F.to_date("ingested_at").alias("ingest_date"))
     (
         dated.hint("rebalance", "ingest_date")
         .sortWithinPartitions("ingest_date", "icao24", "observed_at")
-        .write.mode("append").partitionBy("ingest_date").parquet(path)
+        .write.mode(mode).partitionBy("ingest_date").parquet(path)
     )
 
 
+def append_history(rows: DataFrame, path: str,
+                   horizon_hours: int | None = HISTORY_RETENTION_HOURS) -> None:
+    """Append the rows, one per id, whose ids are not stored yet.
+
+    An id counts as stored if it stands in a date directory not older than ``horizon_hours``
+    before the oldest ingestion among ``rows`` (``None``: in any), so repeating an append
+    adds nothing.
+    """
+    oldest = rows.agg(F.min("ingested_at")).first()[0]
+    since = None
+    if horizon_hours is not None and oldest is not None:
+        since = (oldest - timedelta(hours=horizon_hours)).date()
+    known = stored_ids(rows.sparkSession, path, since)
+    write_history(rows if known is None else rows.join(known, "_id", "left_anti"), path)
+
+
 def stored_ids(spark: SparkSession, path: str, since: date | None = None) -> DataFrame | None:
-    """Ids of stored history ingested on ``since`` or later, None when nothing is stored."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root) or not len(files.listStatus(root)):
+    """Ids of stored history ingested on ``since`` or later, None when nothing is stored.
+
+    Rows without an ingestion time are always among them.
+    """
+    if not _names(spark, path):
         return None
     rows = spark.read.schema("_id STRING, ingest_date DATE").parquet(path)
-    return (rows if since is None else rows.where(F.col("ingest_date") >= F.lit(since))).select("_id")
+    day = F.col("ingest_date")
+    return (rows if since is None else rows.where(day.isNull() | (day >= F.lit(since)))).select("_id")
 
 
 def drop_expired(spark: SparkSession, path: str, before: datetime) -> list[str]:
     """Delete the date directories that lie wholly before a time; returns their dates."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+    names = _names(spark, path)
     dates = [n.removeprefix("ingest_date=") for n in names if n.startswith("ingest_date=2")]
     expired = sorted(d for d in dates if date.fromisoformat(d) < before.date())
     for day in expired:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/ingest_date={day}"), True)
+        _delete(spark, f"{path}/ingest_date={day}")
     return expired
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed snapshot versions under a path, oldest first."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(conf)
-    if not files.exists(root):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(root)]
-    found = [int(name.removeprefix("version=")) for name in names if name.startswith("version=")]
-    return sorted(
-        v for v in found if files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}/_SUCCESS"))
-    )
+    found = [int(n.removeprefix("version=")) for n in _names(spark, path) if n.startswith("version=")]
 
+    def committed(version: int) -> bool:
+        mark, files = _location(spark, f"{path}/version={version}/_SUCCESS")
+        return files.exists(mark)
 
-def read_live(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The newest committed snapshot (older than ``before``), empty when there is none."""
-    known = [v for v in versions(spark, path) if before is None or v < before]
+    return sorted(v for v in found if committed(v))
+
+
+def read_live(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed snapshot, empty when there is none."""
+    known = versions(spark, path)
     if not known:
         return spark.createDataFrame([], STORED_SCHEMA)
     return read_table(spark, f"{path}/version={known[-1]}")
 
 
-def write_live(rows: DataFrame, path: str, version: int) -> None:
-    """Write a whole snapshot; repeating a version replaces it.
+def read_members(spark: SparkSession, path: str) -> DataFrame:
+    """Open members of the newest committed snapshot: ``icao24, name, json, observed_at``."""
+    known = versions(spark, path)
+    if not known:
+        return spark.createDataFrame([], MEMBER_SCHEMA)
+    return read_table(spark, f"{path}/members/version={known[-1]}", MEMBER_SCHEMA)
+
+
+def read_live_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot with each aircraft's open members as a map ``extra``, as archives hold it."""
+    members = latest.extra_map(read_members(spark, path))
+    return read_live(spark, path).join(members, "icao24", "left").select(*STORED_SCHEMA.names, "extra")
+
 
-    A live table has at most one row per 24-bit address, so a snapshot stays small however
-    long the history grows.
+def write_live(rows: DataFrame, path: str, members: DataFrame | None = None) -> int:
+    """Write a whole snapshot as the next version of the path; returns the version.
+
+    The number comes from the path, so no writer, whatever its checkpoint, can hide behind
+    versions that are there. Members are written first: the rows commit the version. A live
+    table has at most one row per 24-bit address, so a snapshot stays small however long the
+    history grows. One writer at a time.
     """
+    spark = rows.sparkSession
+    version = max(versions(spark, path), default=-1) + 1
+    if members is None:
+        members = spark.createDataFrame([], MEMBER_SCHEMA)
+    members.select(*MEMBER_SCHEMA.names).write.mode("overwrite").parquet(f"{path}/members/version={version}")
     rows.select(*STORED_SCHEMA.names).write.mode("overwrite").parquet(f"{path}/version={version}")
+    return version
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> list[int]:
     """Delete all but the newest snapshots; readers of the kept ones are undisturbed."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     dropped = versions(spark, path)[:-keep]
     for version in dropped:
-        target = jvm.org.apache.hadoop.fs.Path(f"{path}/version={version}")
-        target.getFileSystem(conf).delete(target, True)
+        _delete(spark, f"{path}/version={version}")
+        _delete(spark, f"{path}/members/version={version}")
     return dropped
 
 
+def is_empty(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds no stored rows, neither as files nor as a live snapshot."""
+    names = _names(spark, path)
+    if any(n.startswith("version=") for n in names):
+        return read_live(spark, path).isEmpty()
+    return not names or spark.read.schema(STORED_SCHEMA).parquet(path).isEmpty()
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table and, as table ``*``, over all of them."""
     counted = [

@@ -4,32 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from airlane.operators import latest, live, retention, validate
-from airlane.schemas import BATCH_INTERVAL_MS
 
 Publish = Callable[[DataFrame, int], None]
 
 
-def public_batch(batch: DataFrame, coalesce: bool = False) -> tuple[DataFrame, Observation]:
-    """Publishable rows of a micro-batch and the observation of its counters.
+def public_batch(batch: DataFrame, coalesce: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Publishable rows of a micro-batch, and one row of its counters.
 
     Unusable messages are counted and left out without losing the rows around them. With
     ``coalesce`` only the newest row per aircraft remains, by the feed's rule.
     """
-    counters = Observation()
-    rows = validate.realtime_events(batch).observe(
-        counters,
+    rows = validate.realtime_events(batch)
+    usable = live.public(rows.where(~F.col("skipped")))
+    return (latest.latest(usable, "last") if coalesce else usable), rows.agg(*_counters())
+
+
+def _counters():
+    return (
         F.count("*").alias("received"),
         F.count_if("skipped").alias("skipped"),
         F.count_if(~F.col("skipped")).alias("published"),
-        F.max("ingested_at").alias("newest_ingested_at"),
+        F.max(F.when(~F.col("skipped"), F.col("ingested_at"))).alias("newest_ingested_at"),
     )
-    usable = live.public(rows.where(~F.col("skipped")))
-    return (latest.latest(usable, "last") if coalesce else usable), counters
 
 
 def resume_positions(batch: DataFrame) -> DataFrame:
@@ -38,19 +39,27 @@ def resume_positions(batch: DataFrame) -> DataFrame:
 
 
 def start_feed(messages: DataFrame, publish: Publish, checkpoint: str, coalesce: bool = False,
-               interval_ms: int = BATCH_INTERVAL_MS, **trigger) -> StreamingQuery:
+               report: Callable[[dict, int], None] | None = None, **trigger) -> StreamingQuery:
     """Publish every micro-batch; a failed publish fails the batch, which is then repeated.
 
-    Batches end by interval here and by size through the reader's limit per trigger.
+    ``report`` gets the counters of each published batch: ``received``, ``skipped``,
+    ``published`` and ``newest_ingested_at``. Batches follow each other as the reader ends
+    them, see `log.stream_realtime`.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows, _ = public_batch(batch, coalesce)
-        publish(rows, batch_id)
+        batch.persist()
+        try:
+            rows, counters = public_batch(batch, coalesce)
+            publish(rows, batch_id)
+            if report is not None:
+                report(counters.first().asDict(), batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         messages.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": f"{interval_ms} milliseconds"}))
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
         .start()
     )
 
@@ -85,8 +94,6 @@ def observed_feed(messages: DataFrame, name: str = "feed") -> DataFrame:
     """The feed as a streaming DataFrame whose progress reports its counters."""
     rows = validate.realtime_events(messages).observe(
         name,
-        F.count("*").alias("received"),
-        F.count_if("skipped").alias("skipped"),
-        F.max("ingested_at").alias("newest_ingested_at"),
+        *_counters(),
     )
     return live.public(rows.where(~F.col("skipped")))

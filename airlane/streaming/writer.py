@@ -1,8 +1,8 @@
 """Durable writer: history, live snapshots and dead letters from the message log.
 
-Two queries read the log from the earliest offset, each with its own checkpoint. A query
-moves on only after its writes succeeded, and repeating a micro-batch replaces what the
-first attempt wrote, so delivery is at least once with idempotent effects.
+One query reads the log from the earliest offset and writes all three from one classification
+of each micro-batch. It moves on only after every write succeeded, and repeating a micro-batch
+changes nothing, so delivery is at least once with idempotent effects.
 """
 
 from __future__ import annotations
@@ -29,75 +29,65 @@ def valid_events(messages: DataFrame) -> DataFrame:
     return validate.valid(validate.validate(messages, log_time()))
 
 
-def write_history(batch: DataFrame, path: str, horizon_hours: int | None = HISTORY_RETENTION_HOURS,
+def write_history(events: DataFrame, path: str, horizon_hours: int | None = HISTORY_RETENTION_HOURS,
                   retention_hours: int | None = None) -> None:
-    """Append the batch's valid events whose ids are not stored yet.
+    """Append valid events whose ids are not stored yet, see `tables.append_history`.
 
-    Every event is stored, however far behind others its log partition is. An id counts as stored
-    if it stands in a date directory not older than ``horizon_hours`` before the batch's oldest
-    ingestion (``None``: in any), so repeating a batch adds nothing. With ``retention_hours``,
-    date directories that ended longer ago than that, by the newest log time of the batch, are
-    deleted.
+    Every event is stored, however far behind others its log partition is. With
+    ``retention_hours``, date directories that ended longer ago than that, by the newest log
+    time of the events, are deleted.
     """
-    spark = batch.sparkSession
-    rows = history.history(valid_events(batch)).persist()
+    rows = history.history(events).persist()
     try:
-        oldest, newest = rows.agg(
-            F.min("ingested_at"), F.max(times.instant_to_utc(F.col("timestamp")))).first()
-        if oldest is None:
+        newest = rows.agg(F.max(log_time())).first()[0]
+        if newest is None:
             return
-        since = None if horizon_hours is None else (oldest - timedelta(hours=horizon_hours)).date()
-        known = tables.stored_ids(spark, path, since)
-        new = rows if known is None else rows.join(known, "_id", "left_anti")
-        tables.append_history(new.select(*STORED_SCHEMA.names, "extra"), path)
+        tables.append_history(rows.select(*STORED_SCHEMA.names, "extra"), path, horizon_hours)
         if retention_hours is not None:
-            tables.drop_expired(spark, path, newest - timedelta(hours=retention_hours))
+            tables.drop_expired(events.sparkSession, path, newest - timedelta(hours=retention_hours))
     finally:
         rows.unpersist()
 
 
-def start_history(messages: DataFrame, path: str, checkpoint: str,
-                  horizon_hours: int | None = HISTORY_RETENTION_HOURS,
-                  retention_hours: int | None = None, **trigger) -> StreamingQuery:
-    """Keep the history up to date, see `write_history`; files are laid out as in batch."""
-    def each(batch: DataFrame, batch_id: int) -> None:
-        write_history(batch, path, horizon_hours, retention_hours)
-
-    return (
-        messages.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .start()
-    )
+def write_live(events: DataFrame, path: str, retention_hours: int = LIVE_RETENTION_HOURS,
+               keep_versions: int = 24) -> None:
+    """Merge valid events into the live table and its open members, as the next snapshot."""
+    spark = events.sparkSession
+    current = tables.read_live(spark, path)
+    now = times.instant_to_utc(F.current_timestamp())
+    taken = latest.accepted_after(current, events).persist()
+    merged = latest.fold(taken).select(*current.columns)
+    kept = retention.retain_by_age(merged, now, retention_hours).persist()
+    try:
+        members = latest.merge_members(tables.read_members(spark, path), taken)
+        tables.write_live(kept, path, members.join(kept.select("icao24"), "icao24", "left_semi"))
+        tables.drop_old_versions(spark, path, keep_versions)
+    finally:
+        kept.unpersist()
+        taken.unpersist()
 
 
-def write_batch(batch: DataFrame, batch_id: int, live_path: str,
+def write_batch(batch: DataFrame, batch_id: int, history_path: str, live_path: str,
                 dead_letters: Callable[[DataFrame, int], None], consumer_group: str,
-                live_retention_hours: int = LIVE_RETENTION_HOURS,
-                keep_versions: int = 24) -> None:
-    """Dead letters and the next live snapshot of one micro-batch.
-
-    The batch is classified once and kept while both sinks read it. Snapshot versions are
-    batch numbers, so a live path belongs to one checkpoint.
-    """
-    spark = batch.sparkSession
+                horizon_hours: int | None = HISTORY_RETENTION_HOURS,
+                history_retention_hours: int | None = None,
+                live_retention_hours: int = LIVE_RETENTION_HOURS) -> None:
+    """Dead letters, history and live snapshot of one micro-batch, from one classification."""
     classified = validate.validate(batch, log_time()).persist()
     try:
         envelopes = deadletter.envelopes(validate.rejected(classified), consumer_group, log_time())
         dead_letters(deadletter.to_messages(envelopes), batch_id)
-        current = tables.read_live(spark, live_path, before=batch_id)
-        merged = latest.merge_into(current, validate.valid(classified))
-        kept = retention.retain_by_age(merged, times.instant_to_utc(F.current_timestamp()), live_retention_hours)
-        tables.write_live(kept, live_path, batch_id)
-        tables.drop_old_versions(spark, live_path, keep_versions)
+        events = validate.valid(classified)
+        write_history(events, history_path, horizon_hours, history_retention_hours)
+        write_live(events, live_path, live_retention_hours)
     finally:
         classified.unpersist()
 
 
-def dead_letter_files(path: str) -> Callable[[DataFrame, int], None]:
-    """Dead-letter sink of one directory per micro-batch."""
+def dead_letter_files(path: str, writer: str = "writer") -> Callable[[DataFrame, int], None]:
+    """Dead-letter sink of one directory per micro-batch; a new checkpoint takes a new ``writer`` name."""
     def write(messages: DataFrame, batch_id: int) -> None:
-        log.write_files(messages, f"{path}/batch={batch_id}")
+        log.write_files(messages, f"{path}/writer={writer}/batch={batch_id}")
 
     return write
 
@@ -110,14 +100,15 @@ def dead_letter_kafka(servers: str, topic: str, **options) -> Callable[[DataFram
     return write
 
 
-def start_live(messages: DataFrame, live_path: str,
-               dead_letters: Callable[[DataFrame, int], None], checkpoint: str,
-               consumer_group: str, live_retention_hours: int = LIVE_RETENTION_HOURS,
-               **trigger) -> StreamingQuery:
-    """Keep the live snapshots and the dead-letter log up to date."""
+def start_writer(messages: DataFrame, history_path: str, live_path: str,
+                 dead_letters: Callable[[DataFrame, int], None], checkpoint: str,
+                 consumer_group: str, horizon_hours: int | None = HISTORY_RETENTION_HOURS,
+                 history_retention_hours: int | None = None,
+                 live_retention_hours: int = LIVE_RETENTION_HOURS, **trigger) -> StreamingQuery:
+    """Keep history, live snapshots and the dead-letter log up to date, see `write_batch`."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, live_path, dead_letters, consumer_group,
-                    live_retention_hours)
+        write_batch(batch, batch_id, history_path, live_path, dead_letters, consumer_group,
+                    horizon_hours, history_retention_hours, live_retention_hours)
 
     return (
         messages.writeStream.foreachBatch(each)

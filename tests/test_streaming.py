@@ -32,15 +32,11 @@ class Pipeline:
 
     def run(self):
         source = log.stream_files(self.spark, self.log, 1)
-        queries = [
-            writer.start_history(source, f"{self.root}/history", f"{self.root}/c1", **ONCE),
-            writer.start_live(source, f"{self.root}/live",
-                              writer.dead_letter_files(f"{self.root}/dlq"), f"{self.root}/c2",
-                              "group", **ONCE),
-        ]
-        for query in queries:
-            query.awaitTermination(120)
-            assert query.exception() is None
+        query = writer.start_writer(
+            source, f"{self.root}/history", f"{self.root}/live",
+            writer.dead_letter_files(f"{self.root}/dlq"), f"{self.root}/c", "group", **ONCE)
+        query.awaitTermination(120)
+        assert query.exception() is None
 
     def history(self):
         return tables.read_table(self.spark, f"{self.root}/history").collect()
@@ -70,7 +66,7 @@ def test_acceptance(spark, pipeline):
     pipeline.run()
     assert sorted(r._id[-1] for r in pipeline.history()) == ["1", "3"]
     (row,) = pipeline.live()
-    assert row.observed_at.year != 2000 and row.latitude == 41.1 and row._id == "4baa12"
+    assert row.observed_at.year != 2000 and row.latitude == 52.5 and row._id == "c0ffe1"
     assert len(pipeline.dead()) == 1
 
 
@@ -86,18 +82,22 @@ def test_live_merges_across_batches(spark, pipeline):
 
 
 def test_repeated_batch_changes_nothing(spark, tmp_path):
-    path, dlq = str(tmp_path / "live"), str(tmp_path / "dlq")
+    past, path, dlq = (str(tmp_path / n) for n in ("history", "live", "dlq"))
     first = spark.createDataFrame([record(NEW, 0), record("x", 1)], MESSAGE_SCHEMA)
     second = spark.createDataFrame([record(OLD, 2), record("y", 3)], MESSAGE_SCHEMA)
     sink = writer.dead_letter_files(dlq)
     for batch_id, batch in [(0, first), (1, second)]:
-        writer.write_batch(batch, batch_id, path, sink, "g")
-    once = (tables.read_live(spark, path).collect(), spark.read.parquet(dlq).count())
-    writer.write_batch(second, 1, path, sink, "g")
-    assert (tables.read_live(spark, path).collect(), spark.read.parquet(dlq).count()) == once
-    assert once[1] == 2
-    assert tables.versions(spark, path) == [0, 1]
-    assert tables.drop_old_versions(spark, path, keep=1) == [0]
+        writer.write_batch(batch, batch_id, past, path, sink, "g")
+
+    def state():
+        return (tables.read_live(spark, path).collect(), spark.read.parquet(dlq).count(),
+                tables.read_table(spark, past).count())
+
+    once = state()
+    writer.write_batch(second, 1, past, path, sink, "g")
+    assert state() == once and once[1:] == (2, 2)
+    assert tables.versions(spark, path) == [0, 1, 2]
+    assert tables.drop_old_versions(spark, path, keep=1) == [0, 1]
     assert tables.read_live(spark, path).count() == 1
 
 
@@ -107,9 +107,9 @@ def test_failed_dead_letter_stops_the_batch(spark, tmp_path):
     def refuse(messages, batch_id):
         raise RuntimeError("dead letters unavailable")
 
-    start = lambda sink: writer.start_live(
-        log.stream_files(spark, str(tmp_path / "log")), str(tmp_path / "live"), sink,
-        str(tmp_path / "c"), "g", **ONCE)
+    start = lambda sink: writer.start_writer(
+        log.stream_files(spark, str(tmp_path / "log")), str(tmp_path / "history"),
+        str(tmp_path / "live"), sink, str(tmp_path / "c"), "g", **ONCE)
     with pytest.raises(Exception, match="dead letters unavailable"):
         start(refuse).awaitTermination(120)
     assert tables.versions(spark, str(tmp_path / "live")) == []
@@ -128,9 +128,10 @@ def test_stream_equals_batch(spark, tmp_path):
             "append").parquet(path)
     as_of = views.messages_as_of(spark, "/root/testdata/sf0.001")
     events = validate.valid(validate.validate(rows, as_of))
-    writer.start_live(log.stream_files(spark, path, 1), str(tmp_path / "live"),
-                      writer.dead_letter_files(str(tmp_path / "dlq")), str(tmp_path / "c"), "g",
-                      10**6, **ONCE).awaitTermination(200)
+    writer.start_writer(log.stream_files(spark, path, 1), str(tmp_path / "history"),
+                        str(tmp_path / "live"), writer.dead_letter_files(str(tmp_path / "dlq")),
+                        str(tmp_path / "c"), "g", live_retention_hours=10**6,
+                        **ONCE).awaitTermination(200)
     assert len(tables.versions(spark, str(tmp_path / "live"))) == 3
     columns = ["icao24", "observed_at", "callsign", "baro_altitude_m", "on_ground",
                "kafka_offset", "velocity_mps"]
@@ -138,8 +139,11 @@ def test_stream_equals_batch(spark, tmp_path):
     expected = latest.live_merged(events).select(*columns)
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
 
-    writer.start_history(log.stream_files(spark, path, 1), str(tmp_path / "history"),
-                         str(tmp_path / "ch"), **ONCE).awaitTermination(200)
+    found = tables.read_members(spark, str(tmp_path / "live")).select("icao24", "name", "json")
+    expected = latest.merged_members(events).select("icao24", "name", "json")
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    assert {r.name for r in found.collect()} >= {"note"}
+
     found = tables.read_table(spark, str(tmp_path / "history")).select("_id", "kafka_offset")
     expected = history.history(events).select("_id", "kafka_offset")
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
@@ -156,7 +160,7 @@ def test_history_keeps_every_event(spark, tmp_path):
         rows.append((*record(body, i, i % 2)[:5], stamp, 1, []))
     batches = [spark.createDataFrame([r], MESSAGE_SCHEMA) for r in rows]
     for batch in [*batches, batches[1], batches[3]]:
-        writer.write_history(batch, path)
+        writer.write_history(writer.valid_events(batch), path)
     found = tables.read_table(spark, path).orderBy("kafka_offset").collect()
     assert [r.kafka_offset for r in found] == [0, 1, 2]
     assert [r.ingested_at for r in found] == [s.replace(tzinfo=None) for s in shifts[:3]]
@@ -164,6 +168,21 @@ def test_history_keeps_every_event(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 2
 
 
+def test_new_checkpoint_goes_on_from_the_path(spark, tmp_path):
+    """A writer whose batch numbers start again sees the earlier state, and readers see its output."""
+    path, later = str(tmp_path / "live"), datetime.now() + timedelta(seconds=5)
+    stamp = later.strftime("%Y-%m-%dT%H:%M:%SZ")
+    first = event(observed_at=NOW, ingested_at=NOW, callsign="A", pilot={"n": 1}, squawk=7700, spi="no")
+    second = event(observed_at=stamp, ingested_at=stamp, crew=2, spi=True)
+    for body in (first, second):
+        batch = spark.createDataFrame([record(body)], MESSAGE_SCHEMA)
+        writer.write_live(writer.valid_events(batch), path)
+        known = tables.versions(spark, path)
+    (row,) = tables.read_live_documents(spark, path).collect()
+    assert known == [0, 1] and (row.callsign, row.spi) == ("A", True)
+    assert {k: json.loads(v) for k, v in row.extra.items()} == {"pilot": {"n": 1}, "crew": 2}
+
+
 def test_latest_states_in_complete_mode(spark, tmp_path):
     path = str(tmp_path / "log")
     deliver(spark, path, 0, NEW, OLD, event(icao24="00000b", observed_at=NOW))
@@ -172,21 +191,24 @@ def test_latest_states_in_complete_mode(spark, tmp_path):
         **ONCE).start()
     query.awaitTermination(120)
     found = {r.icao24: r.latitude for r in spark.table("states").collect()}
-    assert found == {"4baa12": 41.1, "00000b": 41.1}
+    assert found == {"c0ffe1": 52.5, "00000b": 52.5}
 
 
 def test_feed_skips_bad_rows_only(spark, tmp_path):
     path = str(tmp_path / "log")
     deliver(spark, path, 10, NEW, "not-json", event(icao24="00000b"))
-    published = []
+    published, reported = [], []
 
     def publish(rows, batch_id):
         assert tuple(rows.columns) == PUBLIC_COLUMNS
         published.extend(r.icao24 for r in rows.collect())
 
     feed.start_feed(log.stream_files(spark, path), publish, str(tmp_path / "c"),
+                    report=lambda counters, batch_id: reported.append(counters),
                     **ONCE).awaitTermination(120)
-    assert sorted(published) == ["00000b", "4baa12"]
+    assert sorted(published) == ["00000b", "c0ffe1"]
+    assert [(c["received"], c["published"], c["skipped"]) for c in reported] == [(3, 2, 1)]
+    assert reported[0]["newest_ingested_at"].strftime("%Y-%m-%dT%H:%M:%SZ") == NOW
 
 
 def test_feed_batch_counters(spark):
@@ -194,8 +216,8 @@ def test_feed_batch_counters(spark):
         [record(NEW, 10), record("not-json", 11), record(NEW, 12)], MESSAGE_SCHEMA)
     rows, counters = feed.public_batch(batch)
     assert rows.count() == 2
-    assert (counters.get["received"], counters.get["published"], counters.get["skipped"]) == (
-        3, 2, 1)
+    seen = counters.first()
+    assert (seen.received, seen.published, seen.skipped) == (3, 2, 1)
     rows, _ = feed.public_batch(batch, coalesce=True)
     assert [r.kafka_offset for r in rows.collect()] == [12]
     assert [(r.partition, r.next_offset) for r in feed.resume_positions(batch).collect()] == [
