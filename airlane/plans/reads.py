@@ -65,6 +65,19 @@ def live_list(spark, sf_dir):
     return live.live_page(rows, as_of, window_minutes=WINDOW_MINUTES).items
 
 
+@query(
+    f"""
+{_WITH_LIVE}
+SELECT {_PUBLIC_LIVE} FROM live WHERE observed_at >= {_SINCE}
+ORDER BY observed_at DESC, icao24 LIMIT 5
+"""
+)
+def live_list_page5(spark, sf_dir):
+    """Newest live aircraft, a page short enough to cut."""
+    rows, as_of = live_window(spark, sf_dir, PUBLIC_COLUMNS)
+    return live.live_page(rows, as_of, 5, WINDOW_MINUTES).items
+
+
 @query(
     f"""
 {_WITH_LIVE}
@@ -81,7 +94,7 @@ def live_list_envelope(spark, sf_dir):
 
 @query(f"{_WITH_LIVE} SELECT {_PUBLIC_LIVE} FROM live WHERE icao24 = '00002a'")
 def aircraft_detail(spark, sf_dir):
-    """Live row of one aircraft; the address filter reaches the scan of its history."""
+    """Live row of one aircraft, from its own history alone."""
     rows = views.positions(spark, sf_dir).where(F.col("icao24") == live.check_icao24("00002A"))
     return live.aircraft(latest.live(rows, PUBLIC_COLUMNS), "00002A")
 
@@ -101,17 +114,40 @@ def aircraft_history(spark, sf_dir):
 @query(
     f"""
 WITH {views.POSITIONS_SQL}
+SELECT {_PUBLIC} FROM positions
+WHERE icao24 = (SELECT min(icao24) FROM positions)
+ORDER BY observed_at DESC, kafka_offset DESC LIMIT 10
+"""
+)
+def aircraft_history_page10(spark, sf_dir):
+    """Newest history of the first aircraft, a page short enough to cut."""
+    rows = views.positions(spark, sf_dir)
+    first = rows.agg(F.min("icao24")).first()[0]
+    return live.aircraft_history(rows, first, 10)
+
+
+def _top_sql(limit):
+    return f"""
+WITH {views.POSITIONS_SQL}
 SELECT {_PUBLIC}, rank FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY icao24
               ORDER BY observed_at DESC, kafka_offset DESC) AS INT) AS rank FROM positions)
-WHERE rank <= 100
+WHERE rank <= {limit}
 """
-)
+
+
+@query(_top_sql(100))
 def history_topn_all(spark, sf_dir):
     """Newest history of every aircraft."""
     return live.history_top_n(views.positions(spark, sf_dir))
 
 
+@query(_top_sql(20))
+def history_top20_all(spark, sf_dir):
+    """Newest history of every aircraft, a limit that most exceed."""
+    return live.history_top_n(views.positions(spark, sf_dir), 20)
+
+
 @query(
     f"""
 WITH {views.POSITIONS_SQL}
@@ -141,14 +177,15 @@ def stale_hidden_count(spark, sf_dir):
     f"""
 {_WITH_LIVE}
 SELECT icao24, callsign, origin_country, observed_at FROM live
-WHERE contains(icao24, 'err') OR contains(lower(callsign), 'err')
-   OR contains(lower(origin_country), 'err')
+WHERE observed_at >= {_SINCE} AND (contains(icao24, 'err') OR contains(lower(callsign), 'err')
+   OR contains(lower(origin_country), 'err'))
 """
 )
 def search_aircraft(spark, sf_dir):
-    """Aircraft whose address, callsign or country contains a text."""
+    """Live aircraft whose address, callsign or country contains a text."""
     columns = ["callsign", "origin_country", "observed_at"]
-    return live.search(live_rows(spark, sf_dir, columns), " ERR ").select("icao24", *columns)
+    rows, _ = live_window(spark, sf_dir, columns)
+    return live.search(rows, " ERR ").select("icao24", *columns)
 
 
 @query(

@@ -12,12 +12,13 @@ from airlane.plans.registry import query
 _COLUMNS = ["_id", "icao24", "latitude", "longitude", "baro_altitude_m", "on_ground",
             "observed_at", "kafka_offset"]
 
-_POINTS_SQL = f"""
+def _points_sql(limit):
+    return f"""
 WITH {views.POSITIONS_SQL},
 newest AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY icao24
                    ORDER BY observed_at DESC, kafka_offset DESC) AS rn FROM positions)
-    WHERE rn <= 120),
+    WHERE rn <= {limit}),
 points AS (
     SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY observed_at, kafka_offset) AS seq,
            count(*) OVER (PARTITION BY icao24) AS n,
@@ -27,10 +28,22 @@ points AS (
 """
 
 
+_POINTS_SQL = _points_sql(120)
+
+
 def points(spark, sf_dir):
     return routes.route_points(views.positions(spark, sf_dir))
 
 
+@query(
+    f"""{_points_sql(20)}
+SELECT {', '.join(_COLUMNS)}, CAST(seq AS INT) AS seq FROM points"""
+)
+def route_points_20(spark, sf_dir):
+    """Valid positions among the newest 20 rows, a limit that most aircraft exceed."""
+    return routes.route_points(views.positions(spark, sf_dir), 20).select(*_COLUMNS, "seq")
+
+
 @query(
     f"""{_POINTS_SQL}
 SELECT {', '.join(_COLUMNS)}, CAST(seq AS INT) AS seq FROM points"""
@@ -75,21 +88,19 @@ def route_endpoints(spark, sf_dir):
 
 @query(
     f"""{_POINTS_SQL}
-SELECT icao24, count(*) AS points, first(longitude ORDER BY seq) AS first_longitude,
-       last(latitude ORDER BY seq) AS last_latitude
+SELECT icao24, count(*) AS points, string_agg(CAST(CAST(round(longitude * 100) AS BIGINT) AS VARCHAR)
+       || ' ' || CAST(CAST(round(latitude * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY seq) AS hundredths
 FROM points GROUP BY icao24 HAVING count(*) > 1"""
 )
 def route_linestring(spark, sf_dir):
-    """One line per route, its ends read back from the GeoJSON text."""
+    """One line per route, all its coordinates read back from the GeoJSON text in order."""
     lines = routes.route_linestring(points(spark, sf_dir))
     coordinates = F.from_json(
         F.get_json_object("geojson", "$.geometry.coordinates"), "array<array<double>>"
     )
-    return lines.select("icao24", "points", coordinates.alias("c")).select(
-        "icao24", "points",
-        F.col("c")[0][0].alias("first_longitude"),
-        F.element_at("c", -1)[1].alias("last_latitude"),
-    )
+    hundredths = lambda x: F.round(x * 100).cast("long").cast("string")
+    pairs = F.transform(coordinates, lambda c: F.concat_ws(" ", hundredths(c[0]), hundredths(c[1])))
+    return lines.select("icao24", "points", F.array_join(pairs, ",").alias("hundredths"))
 
 
 @query(
