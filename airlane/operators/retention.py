@@ -25,8 +25,9 @@ def retain_by_size(log: DataFrame, max_bytes: int, size="size",
                    chunk_size: int = OFFSETS_PER_CHUNK) -> DataFrame:
     """The newest rows of each log partition whose sizes add up to at most ``max_bytes``.
 
-    Offset ranges are summed first. Ranges wholly beyond the budget leave by a join with
-    those sums; only the rest is ordered, one range per task.
+    Offset ranges are summed first; that gives each partition the range in which the budget
+    ends, a map of one entry per partition. Newer ranges are kept and older ones dropped by a
+    filter on the scan; only the rows of the last range are shuffled and ordered.
     """
     place = ["topic", "partition"]
     chunked = log.withColumn("_chunk", offset_chunk(F.col("offset"), chunk_size))
@@ -34,21 +35,23 @@ def retain_by_size(log: DataFrame, max_bytes: int, size="size",
         Window.partitionBy(*place).orderBy(F.desc("_chunk"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    budget = (
+    last = (
         chunked.groupBy(*place, "_chunk").agg(F.sum(size).alias("_bytes"))
         .withColumn("_newer", F.coalesce(F.sum("_bytes").over(newer), F.lit(0)))
         .where(F.col("_newer") < max_bytes)
-        .select(*place, "_chunk", "_newer")
+        .groupBy(*place).agg(F.min(F.struct("_chunk", "_newer")).alias("_last"))
     )
-    inside = Window.partitionBy(*place, "_chunk").orderBy(F.desc("offset"))
-    used = F.col("_newer") + F.sum(size).over(
-        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entry = F.struct(F.struct(*place), "_last")
+    of = last.agg(F.map_from_entries(F.collect_list(entry)).alias("_map")).scalar()
+    end = F.element_at(of, F.struct(*place))
+    used = end.getField("_newer") + F.sum(size).over(
+        Window.partitionBy(*place).orderBy(F.desc("offset"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        chunked.join(budget, [*place, "_chunk"])
-        .withColumn("_used", used)
-        .where(F.col("_used") <= max_bytes)
-        .select(*log.columns)
+    whole = chunked.where(F.col("_chunk") > end.getField("_chunk"))
+    partial = chunked.where(F.col("_chunk") == end.getField("_chunk")).withColumn("_used", used)
+    return whole.select(*log.columns).unionByName(
+        partial.where(F.col("_used") <= max_bytes).select(*log.columns)
     )
 
 

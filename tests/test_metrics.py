@@ -126,6 +126,13 @@ def test_size_retention_against_fold(spark, chunk, budget):
     assert {r.offset for r in found.collect()} == expected
 
 
+def test_size_retention_joins_nothing(spark):
+    """Old rows leave by a filter on the scan: only the last range of a partition is ordered."""
+    kept = retention.retain_by_size(log(spark, [(0, i, i, 10) for i in range(10)]), 45, chunk_size=2)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.splitlines()[1].startswith(":- Filter")
+
+
 def test_age_or_size_whichever_first(spark):
     rows = log(spark, [(0, i, i, 10) for i in range(10)])
     now = T0 + timedelta(hours=9)
