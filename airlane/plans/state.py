@@ -30,6 +30,12 @@ def good(spark, sf_dir):
     return validate.valid(classified(spark, sf_dir))
 
 
+def sequence_input(spark, sf_dir, *columns):
+    """Valid events stored once: computations over sequences scan their input twice."""
+    order = ["icao24", "observed_at", "kafka_partition", "kafka_offset"]
+    return tables.staged(good(spark, sf_dir).select(*order, *columns), "events")
+
+
 def stored(spark, sf_dir):
     """History and live tables of the message log."""
     events = good(spark, sf_dir)
@@ -90,7 +96,9 @@ FROM taken GROUP BY icao24
 def live_merged(spark, sf_dir):
     """Live table, document-merge rule: an event overrides only the members it carries."""
     fields = ["callsign", "origin_country", "baro_altitude_m", "on_ground", "velocity_mps"]
-    return latest.live_merged(good(spark, sf_dir), fields).select(
+    others = ["latitude", "longitude", "ingested_at", "kafka_topic", "present"]
+    events = sequence_input(spark, sf_dir, *others, *fields)
+    return latest.live_merged(events, fields).select(
         "_id", "icao24", "observed_at", "latitude", "longitude", "ingested_at", "kafka_offset",
         *fields,
     )
@@ -115,7 +123,7 @@ UNION ALL SELECT icao24, 'on_ground', '1' FROM truths WHERE original = carried
 )
 def live_merged_extra(spark, sf_dir):
     """Open members under the same merge rule, mistyped originals included."""
-    return latest.merged_members(good(spark, sf_dir)).select("icao24", "name", "json")
+    return latest.merged_members(sequence_input(spark, sf_dir, "present", "extra")).select("icao24", "name", "json")
 
 
 @query(
@@ -129,9 +137,7 @@ SELECT icao24, kafka_offset, observed_at, newest_before FROM (
 )
 def late_events(spark, sf_dir):
     """Events kept in history that arrived too late for the live table."""
-    return history.late_events(
-        good(spark, sf_dir).select("icao24", "observed_at", "kafka_partition", "kafka_offset")
-    ).select("icao24", "kafka_offset", "observed_at", "newest_before")
+    return history.late_events(sequence_input(spark, sf_dir)).select("icao24", "kafka_offset", "observed_at", "newest_before")
 
 
 # The feed resumes from a snapshot one day old with two days of updates: the day that both

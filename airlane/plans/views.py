@@ -20,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow events dealt over the tasks, as the partitions of a log or many landed files bring them.
+
+    Always, whatever the table's size: the work per row that follows outweighs this shuffle. The
+    session's number of shuffle partitions is taken as it is, since adaptive execution would join
+    partitions by bytes, of which there are few, and not by the work they cause.
+    """
+    columns = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "events").select(*columns).repartition(parts, "event_id")
+
+
 # --------------------------------------------------------------------------
 # positions: clean typed rows, one per event
 # --------------------------------------------------------------------------
@@ -136,7 +148,7 @@ _VALUE = """
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     base = (
-        table(spark, sf_dir, "events")
+        arrivals(spark, sf_dir)
         .selectExpr(
             "*",
             "CASE WHEN event_id % 41 = 7 THEN ts - INTERVAL '2' DAY ELSE ts END AS obs_ts",
@@ -298,7 +310,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
                CAST(unix_seconds(CAST(ts AS TIMESTAMP)) + 1 AS STRING) AS t1
         FROM {events}
         """,
-        events=table(spark, sf_dir, "events"),
+        events=arrivals(spark, sf_dir),
     )
     return parts.selectExpr("event_id", f"{_SNAPSHOT} AS value")
 
@@ -328,7 +340,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             named_struct('metric', 'freshness_seconds', 'value', value),
             named_struct('metric', 'memory_bytes', 'value', value * 1000 + 1))) s
         """,
-        events=table(spark, sf_dir, "events"),
+        events=arrivals(spark, sf_dir),
     )
 
 
@@ -344,7 +356,7 @@ def bucket_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                map('le', b.le, 'route', event_type) AS labels, CAST(b.value AS DOUBLE) AS value
         FROM {{events}} LATERAL VIEW inline(array({bounds})) b
         """,
-        events=table(spark, sf_dir, "events"),
+        events=arrivals(spark, sf_dir),
     )
 
 
