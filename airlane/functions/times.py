@@ -16,7 +16,7 @@ EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 #: Extended ISO-8601 date or date-time that a cast to TIMESTAMP reads as is.
 _ISO_SHAPE = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}"
-    r"(T\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?(Z|[+-]\d{2}(:\d{2})?)?)?\z"
+    r"(T\d{2}(:\d{2}(:\d{2}([.]\d+)?)?)?(Z|[+-]\d{2}(:\d{2}(:\d{2})?)?)?)?\z"
 )
 
 #: Rewrites of other accepted spellings (basic forms, odd separators) to the extended form.
@@ -25,8 +25,13 @@ _ISO_REWRITES = (
     (r"^(.{10})Z\z", "$1T00:00:00Z"),
     (r"^(.{10})(?s:.)", "$1T"),
     (r"T(\d{2})(\d{2})(\d{2})(?=[.,Z+-]|\z)", "T$1:$2:$3"),
-    (r"T(\d{2})(\d{2})(?=[Z+-]|\z)", "T$1:$2"),
+    (r"T(\d{2})(\d{2})(?=[.,Z+-]|\z)", "T$1:$2"),
+    # A decimal mark with nothing behind it before an offset; a fraction is one of a second.
+    (r"(T[\d:]+)[.,](?=[Z+-])", "$1"),
+    (r"(T\d{2})[.,](?=\d)", "$1:00:00."),
+    (r"(T\d{2}:\d{2})[.,](?=\d)", "$1:00."),
     (r"(T\d{2}:\d{2}:\d{2}),", "$1."),
+    (r"(T.*[+-]\d{2})(\d{2})(\d{2})\z", "$1:$2:$3"),
     (r"(T.*[+-]\d{2})(\d{2})\z", "$1:$2"),
     # The cast wants whole times before an offset.
     (r"(T\d{2})(?=Z|[+-])", "$1:00"),

@@ -145,8 +145,9 @@ def test_iso_grid(spark):
     """Date form x separator x precision x zone, as Python's own parser reads them."""
     texts = [day + sep + clock + zone
              for day in ("2024-02-29", "20240229") for sep in "T _"
-             for clock in ("07", "07:08", "0708", "07:08:09", "070809", "07:08:09.5", "070809.123456", "07:08:09,25", "24:00", "07:60")
-             for zone in ("", "Z", "+00:00", "-03:30", "+0530", "+02")]
+             for clock in ("07", "07:08", "0708", "07:08:09", "070809", "07:08:09.5", "070809.123456", "07:08:09,25", "24:00", "07:60",
+                           "07.5", "07,25", "0708.5", "07:08,25", "07:08:09.", "070809,", "07.", "0708,")
+             for zone in ("", "Z", "+00:00", "-03:30", "+0530", "+02", "+00:00:30", "-013015")]
 
     def expected(text):
         try:
