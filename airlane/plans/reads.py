@@ -29,7 +29,8 @@ def live_window(spark, sf_dir, columns, window_minutes=WINDOW_MINUTES):
     """Live rows within the window, and the reference time.
 
     The newest row of an aircraft is inside the window exactly when it has any row there,
-    so history is cut to the window before the aggregation and the cut reaches the scan.
+    so history is cut to the window before the aggregation. On stored tables the cut reaches
+    the file scan; in this view the time is an expression, so it is a filter above the scan.
     """
     rows = views.positions(spark, sf_dir)
     as_of = views.newest(rows)

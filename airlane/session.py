@@ -25,7 +25,8 @@ TUNING_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to an existing session and return it."""
+    """Apply the runtime settings above to an existing session, where they differ, and return it."""
     for key, value in {**REQUIRED_CONF, **TUNING_CONF}.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark

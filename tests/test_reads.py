@@ -268,3 +268,16 @@ def test_top_n_plan_cuts_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below and "Partial" in below
     most = frame.groupBy("icao24").count().agg({"count": "max"}).first()[0]
     assert most <= 20
+
+
+def test_stored_reads_push_their_filters(spark, tmp_path):
+    """Window and address reach the files of a stored table, and only the needed columns are read."""
+    path = str(tmp_path / "history")
+    tables.write_history(stored(spark, {}, {"observed_at": NOW - timedelta(hours=2)}, {}), path)
+    rows = tables.read_table(spark, path)
+    recent, one = live.recent(rows, NOW).select("icao24"), live.aircraft_history(rows, "000001")
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (recent, one)]
+    assert "GreaterThanOrEqual(observed_at" in plans[0]
+    assert "ReadSchema: struct<icao24:string,observed_at:timestamp_ntz>" in plans[0]
+    assert "EqualTo(icao24,000001)" in plans[1]
+    assert recent.count() == 2 and one.count() == 1
