@@ -3,11 +3,18 @@
 The categories are predicted one after another by logistic models over word features; every later
 model also sees the probabilities of the earlier categories. It is trained on out-of-fold
 predictions, so that it learns how far an earlier model can be trusted on texts it has not seen.
+
+Texts are cut into consecutive windows of about equal numbers of words, in training and in scoring. A
+feature's value is its density in the window, and the window of the largest margin decides for the whole
+text, so that neither chance words of a long text add up nor a passage of it is diluted. As a long text
+has many windows to be wrong about, a margin counts from a cut that out-of-fold windows set. A category
+that single windows do not show that well is one of whole texts: the mean margin of all windows decides.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,15 +29,45 @@ from airlane.llm.common import prepare, schema_with, texts_of, with_columns
 MAX_ROWS, MAX_FEATURES, FOLDS = 6_000, 2_000, 4
 #: Beginnings of words that are features besides the whole words, in characters.
 STEMS = (4, 5, 6)
+#: Most words of a window, least words its densities refer to, windows of a text that train.
+WINDOW, LEAST_WORDS, TRAINED = 200, 50, 8
+#: Windows of the long texts for which the cut is set.
+LONG_WINDOWS = 100
+#: Words whose places a worker remembers; beyond that it starts again.
+CACHE_ROWS = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def features(text: str) -> set[str]:
-    """Words of the lower-cased text and, marked by ``*``, their beginnings."""
-    words = set(_WORD.findall(text.lower()))
-    out = {w[:40] for w in words}
-    for n in STEMS:
-        out.update(w[:n] + "*" for w in words if len(w) > n)
+def _features(word: str) -> list[str]:
+    """The word and, marked by ``*``, its beginnings."""
+    return [word[:40], *[word[:n] + "*" for n in STEMS if len(word) > n]]
+
+
+def _words(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
+
+
+def _bounds(n_words: int) -> np.ndarray:
+    """Where the windows of a text begin and, last, where it ends; a text without words has one empty window."""
+    n = max(1, -(-n_words // WINDOW))
+    return np.arange(n + 1) * n_words // n
+
+
+def _density(counts: np.ndarray, n_words: np.ndarray | int) -> np.ndarray:
+    """Feature values from counts in windows of ``n_words`` words."""
+    return np.log1p(counts * (WINDOW / np.maximum(n_words, LEAST_WORDS)))
+
+
+def _trained(text: str) -> list[dict[str, list]]:
+    """Features and values of at most ``TRAINED`` windows, spread over the text."""
+    words = _words(text)
+    bounds, out = _bounds(len(words)), []
+    n = len(bounds) - 1
+    for k in range(n) if n <= TRAINED else [n * j // TRAINED for j in range(TRAINED)]:
+        part = words[bounds[k]:bounds[k + 1]]
+        counts = sorted(Counter(f for w in part for f in _features(w)).items())
+        values = _density(np.array([c for _, c in counts], dtype=np.float64), len(part))
+        out.append({"features": [f for f, _ in counts], "density": values.tolist()})
     return out
 
 
@@ -57,41 +94,93 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.5, rounds: int =
     return w
 
 
-def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
+def _probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
+class _Places(dict):
+    """Places of a word's features, remembered."""
+
+    def __init__(self, places: dict[str, int]) -> None:
+        super().__init__()
+        self.places = places
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = self[word] = tuple(p for f in _features(word) if (p := self.places.get(f)) is not None)
+        return found
 
 
 @dataclass(frozen=True)
 class Chain:
-    """The features' places and, per category, weights over them and over the earlier categories."""
+    """The features' places and, per category, weights over them and over the earlier categories, and the cut."""
 
     categories: tuple[str, ...]
     places: dict[str, int]
     weights: tuple[np.ndarray, ...]
+    cuts: tuple[float | None, ...]
 
-    def probabilities(self, texts: list[str]) -> np.ndarray:
+    def margins(self, text: str, known: _Places) -> np.ndarray:
+        """A row per window of the text, a column per category; cuts are not taken off."""
+        words, n_places = _words(text), max(1, len(self.places))
+        bounds = _bounds(len(words))
+        at = [known[w] for w in words]
+        per_word = np.fromiter(map(len, at), dtype=np.int64, count=len(at))
+        sizes = np.diff(bounds)
+        of = np.repeat(np.repeat(np.arange(len(sizes)), sizes), per_word)
+        flat = np.fromiter((p for places in at for p in places), dtype=np.int64, count=len(of))
+        keys, counts = np.unique(of * n_places + flat, return_counts=True)
+        of, place = keys // n_places, keys % n_places
+        values = _density(counts, sizes[of])
+        out, earlier = np.zeros((len(sizes), len(self.categories))), np.zeros((len(sizes), len(self.categories)))
+        for j, w in enumerate(self.weights):
+            out[:, j] = (np.bincount(of, weights=values * w[place], minlength=len(sizes))
+                         + earlier[:, :j] @ w[len(self.places):-1] + w[-1])
+            earlier[:, j] = _probability(out[:, j])
+        return out
+
+    def probabilities(self, texts: list[str], known: _Places | None = None) -> np.ndarray:
+        """A row per text: probabilities at its windows' largest margin less the cut, or, without one, at their mean."""
+        known = _Places(self.places) if known is None else known
         out = np.zeros((len(texts), len(self.categories)))
         for i, text in enumerate(texts):
-            at = [p for f in features(text) if (p := self.places.get(f)) is not None]
-            for j, w in enumerate(self.weights):
-                margin = w[at].sum() + w[len(self.places):-1] @ out[i, :j] + w[-1]
-                out[i, j] = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+            margins = self.margins(text, known)
+            out[i] = _probability(np.array([margins[:, j].mean() if cut is None else margins[:, j].max() - cut
+                                            for j, cut in enumerate(self.cuts)]))
+            if len(known) > CACHE_ROWS:
+                known.clear()
         return out
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
-    """One weight vector per label column, in order; see the module's text."""
+def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """One weight vector per label column, in order, and out-of-fold margins; see the module's text."""
     earlier = np.zeros((len(x), 0), dtype=x.dtype)
-    out = []
+    out, unseen = [], np.zeros(labels.shape)
     for j in range(labels.shape[1]):
         y, full = labels[:, j], np.hstack([x, earlier])
         out.append(_logistic(full, y))
-        unseen = np.zeros((len(x), 1), dtype=x.dtype)
         for fold in np.unique(folds):
             held = folds == fold
-            unseen[held, 0] = _probability(full[held], _logistic(full[~held], y[~held]))
-        earlier = np.hstack([earlier, unseen])
-    return out
+            w = _logistic(full[~held], y[~held])
+            unseen[held, j] = full[held] @ w[:-1] + w[-1]
+        earlier = np.hstack([earlier, _probability(unseen[:, j:j + 1]).astype(x.dtype)])
+    return out, unseen
+
+
+def cut_of(margins: np.ndarray, y: np.ndarray, n_windows: int = LONG_WINDOWS) -> float | None:
+    """The margin, 0 or more, above which a window speaks for its text.
+
+    It makes the share of positive windows above it, plus the share of texts of ``n_windows`` negative
+    windows with none above it, largest; of equal cuts, the smallest. None if it passes less than half of
+    the positive windows. Margins are out-of-fold.
+    """
+    positive, negative = np.sort(margins[y > 0]), np.sort(margins[y <= 0])
+    if not len(positive) or not len(negative):
+        return None
+    cuts = np.unique(np.append(margins[margins > 0], 0.0))
+    found = 1 - np.searchsorted(positive, cuts, side="right") / len(positive)
+    clean = (np.searchsorted(negative, cuts, side="right") / len(negative)) ** n_windows
+    best = np.argmax(found + clean)
+    return float(cuts[best]) if found[best] >= 0.5 else None
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_rows: int = MAX_ROWS,
@@ -99,8 +188,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_r
     """Fit the chain on at most ``max_rows`` labelled documents, those whose ids hash lowest.
 
     ``labels``: ``doc_id`` and a 0/1 column per category; rows with a null in one of these take no
-    part, nor do null texts; of an id labelled twice, the largest label of each category holds. Word
-    features are the ``max_features`` whose presence differs most (chi-square) for some category.
+    part, nor do null texts; of an id labelled twice, the largest label of each category holds. The
+    windows of a document bear its labels; folds keep them together. Word features are the
+    ``max_features`` whose presence in windows differs most (chi-square) for some category.
     Without labelled rows, every probability is near 0.
     """
     chosen = (labels.select("doc_id", *[F.col(c).cast("double").alias(f"label_{j}") for j, c in enumerate(categories)])
@@ -109,20 +199,25 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_r
     sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     names = [f"label_{j}" for j in range(len(categories))]
 
+    window = pa.struct([("features", pa.list_(pa.string())), ("density", pa.list_(pa.float32()))])
+
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [sorted(features(t.as_py())) for t in batch.column("text")]
+            rows = [_trained(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[batch.column(c) for c in names], pa.array(rows, pa.list_(pa.string()))],
-                names=["doc_id", *names, "features"])
+                [batch.column("doc_id"), *[batch.column(c) for c in names], pa.array(rows, pa.list_(window))],
+                names=["doc_id", *names, "windows"])
 
     prepare(docs.sparkSession)
-    rows = sample.mapInArrow(present, "doc_id long, " + ", ".join(f"{c} double" for c in names)
-                             + ", features array<string>").dropDuplicates(["doc_id"]).persist()
+    marked = "doc_id long, " + ", ".join(f"{c} double" for c in names)
+    rows = sample.mapInArrow(present, marked + ", windows array<struct<features: array<string>, density: array<float>>>"
+                             ).dropDuplicates(["doc_id"]).persist()
     try:
-        totals = rows.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in names]).first()
+        cut = rows.select("doc_id", *names, F.posexplode("windows").alias("window", "of")).select(
+            "doc_id", *names, "window", "of.features", "of.density")
+        totals = cut.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in names]).first()
         n = totals["n"]
-        counts = (rows.select(F.explode("features").alias("feature"), *names).groupBy("feature")
+        counts = (cut.select(F.explode("features").alias("feature"), *names).groupBy("feature")
                   .agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in names]).where("n >= 3"))
         strength = F.lit(0.0)
         for c in names:
@@ -136,24 +231,29 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_r
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = shared.value
             for batch in batches:
-                at = [[table[f] for f in row.as_py() if f in table] for row in batch.column("features")]
+                pairs = [[(table[f], v) for f, v in zip(fs.as_py(), vs.as_py()) if f in table]
+                         for fs, vs in zip(batch.column("features"), batch.column("density"))]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), *[batch.column(c) for c in names], pa.array(at, pa.list_(pa.int16()))],
-                    names=["doc_id", *names, "at"])
+                    [batch.column("doc_id"), *[batch.column(c) for c in names], batch.column("window"),
+                     pa.array([[p for p, _ in row] for row in pairs], pa.list_(pa.int16())),
+                     pa.array([[v for _, v in row] for row in pairs], pa.list_(pa.float32()))],
+                    names=["doc_id", *names, "window", "at", "density"])
 
-        # At most max_rows rows of at most max_features small integers.
-        known = sorted(rows.mapInArrow(placed, "doc_id long, " + ", ".join(f"{c} double" for c in names)
-                                       + ", at array<short>").collect(), key=lambda r: r.doc_id)
+        # At most TRAINED windows of max_rows rows, with a small integer and a float per feature met.
+        known = sorted(cut.mapInArrow(placed, marked + ", window int, at array<short>, density array<float>").collect(),
+                       key=lambda r: (r.doc_id, r.window))
     finally:
         rows.unpersist()
     x = np.zeros((len(known), len(places)), dtype=np.float32)
     for i, row in enumerate(known):
-        x[i, row.at] = 1
+        x[i, row.at] = row.density
     y = np.array([[row[c] for c in names] for row in known]).reshape(len(known), len(names))
     if not len(known):
-        return Chain(categories, places, tuple(np.append(np.zeros(j), -30.0) for j in range(len(names))))
-    folds = np.arange(len(known)) % max(2, n_folds)
-    return Chain(categories, places, tuple(fit_chain(x, y, folds)))
+        return Chain(categories, places, tuple(np.append(np.zeros(j), -30.0) for j in range(len(names))), (None,) * len(names))
+    folds = np.unique([row.doc_id for row in known], return_inverse=True)[1] % max(2, n_folds)
+    del known
+    weights, unseen = fit_chain(x, y, folds)
+    return Chain(categories, places, tuple(weights), tuple(cut_of(unseen[:, j], y[:, j]) for j in range(len(names))))
 
 
 def score(docs: DataFrame, chain: Chain, prefix: str = "p_", carry: bool = True) -> DataFrame:
@@ -166,8 +266,9 @@ def score(docs: DataFrame, chain: Chain, prefix: str = "p_", carry: bool = True)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        known = _Places(model.places)
         for batch in batches:
-            p = model.probabilities([t.decode() for t in texts_of(batch.column("text"))])
+            p = model.probabilities([t.decode() for t in texts_of(batch.column("text"))], known)
             yield with_columns(batch, names, [pa.array(p[:, j]) for j in range(len(names))], carry)
 
     prepare(docs.sparkSession)

@@ -70,6 +70,44 @@ def test_toxicity_on_held_out_labels(llm):
     assert n.get((0, True), 0) <= 0.01 * n[0, False]
 
 
+def test_toxicity_of_long_texts(llm):
+    """Held-out clean texts joined to long ones, and the same around a held-out toxic passage."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from airlane.llm import queries, toxicity
+
+    docs = llm.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = llm.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(3)) == 0
+    chain = toxicity.train(docs, queries.toxicity_labels(labels.where(~held)), queries.CATEGORIES)
+    known = docs.join(labels.where(held), "doc_id").where("text IS NOT NULL").orderBy("doc_id").collect()
+    alone = chain.probabilities([r["text"] for r in known])[:, -1] > queries.THRESHOLD
+    texts = {(lang, toxic): [r["text"] for r, said in zip(known, alone) if r["lang"] == lang and r["toxic"] == toxic
+                             and (said or len(r["text"]) > 400 if toxic else not said)]
+             for lang in ("en", "de", "fr", "es") for toxic in (0, 1)}
+    draw = random.Random(7)
+
+    def joined(lang, chars):
+        parts, size = [], 0
+        while size < chars:
+            parts.append(draw.choice(texts[lang, 0]))
+            size += len(parts[-1])
+        return parts
+
+    plain, longer, inside = [], [], []
+    for lang in ("en", "de", "fr", "es") * 15:
+        parts = joined(lang, 23_000)
+        plain.append("\n".join(parts))
+        half = len(parts) // 2
+        inside.append("\n".join([*parts[:half], draw.choice(texts[lang, 1]), *parts[half:]]))
+        longer.append("\n".join(joined(lang, 233_000)))
+    said = [int((chain.probabilities(t)[:, -1] > queries.THRESHOLD).sum()) for t in (plain, longer, inside)]
+    print("long clean, longer clean, toxic inside, of 60:", said)
+    assert said[0] <= 3 and said[1] <= 12 and said[2] >= 42, said
+
+
 def test_token_counts(llm, documents):
     from tokenizers import Tokenizer
 
