@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlane.llm import chat, decontaminate, lines, mixing, simhash, token_counts, token_files, topk, toxicity, warc
+from airlane.llm import (chat, decontaminate, langid, lexical, lines, mixing, periodic, simhash, token_counts, token_files,
+                         topk, toxicity, warc)
 from airlane.llm.common import prepare, table
 
 #: Label columns in the order of the chain; a document above the threshold for the last is toxic.
@@ -84,6 +85,45 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = langid.train(docs.where(~held))
+    found = langid.identify(docs.select("doc_id", "text"), model, carry=False)
+    return found.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where a tenth of the texts repeat a stretch of their own words up to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, w = F.floor(h / 10), F.regexp_extract_all("text", F.lit(r"([^ \t-\r]+)"), 1)
+    a = F.pmod(g, F.col("n"))
+    p = 1 + F.floor((F.col("n") - a) / (3 + g % 8))
+    source = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+    again = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", source(i))), " ")
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, w).alias("w")).withColumn("n", F.size("w"))
+    return chosen.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs, carry=False)
+    ratio = lambda x, y: x["length"] * y["period"]  # noqa: E731  of x's exponent to y's, over a common denominator
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.lit(1), F.size("runs"))), F.get("runs", F.lit(0)), lambda x, y: F.when(
+        (ratio(y, x) > ratio(x, y)) | ((ratio(y, x) == ratio(x, y)) & (y["start"] == x["start"]) & (y["period"] < x["period"])),
+        y).otherwise(x))
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines_ = F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines_, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 OP1_SQL = r"""
 WITH all_turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -167,8 +207,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM b
 """
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), whole AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+tf AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM item) GROUP BY ALL
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, whole GROUP BY term, n_docs
+), scores AS (
+  SELECT item_id, row, doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM tf JOIN weight USING (term) JOIN item USING (term), whole GROUP BY item_id, row, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""
+
 LLM_QUERIES = {f.__name__: (lambda spark, sf_dir, f=f: f(prepare(spark), sf_dir)) for f in (
     op1_chat_format, op2_top_k, op3_toxicity, op4_line_dedup, op5_decontaminate, op6_token_counts,
-    op7_token_files, op8_mix, op9_simhash, op10_warc)}
+    op7_token_files, op8_mix, op9_simhash, op10_warc, op11_language_id, op12_lexical_search, op13_periodic_runs)}
 LLM_ORACLES = {"op1_chat_format": OP1_SQL, "op2_top_k": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_decontaminate": OP5_SQL,
-               "op10_warc": OP10_SQL}
+               "op10_warc": OP10_SQL, "op12_lexical_search": OP12_SQL}

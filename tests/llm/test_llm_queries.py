@@ -43,7 +43,7 @@ def test_names():
     import __spark_entry__ as entry
 
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES} == set(range(1, 14))
 
 
 def test_toxicity_finds_labelled_documents(llm):
