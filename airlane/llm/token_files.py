@@ -9,6 +9,7 @@ mod 2**32, c a CRC-32. Beside every record file stands its index, one 8-byte off
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -18,19 +19,23 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
+import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airlane.llm.common import prepare, scratch, stored, text_hash, texts_of
+from airlane.llm.common import prepare, scratch, stored, text_hash
 
 #: A record file is closed beyond this many bytes.
 FILE_BYTES = 64 << 20
 #: Entries of a worker's cache of encoded words; it is emptied when full. Its longest word in bytes.
 CACHE_ROWS, _LONG_WORD = 1_200_000, 48
-#: ASCII letters and one mark, which the tokenizer always splits.
-_MARKED = re.compile(rb"([a-z]+)([.,;:!?])")
+#: Bytes of texts that are split at a time; a longer text is split alone.
+RUN_BYTES = 4 << 20
+#: Printable ASCII and Latin letters that normalisation leaves alone but for their case.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 def masked(data: bytes) -> int:
@@ -68,69 +73,128 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
 class WordEncoder:
     """Ids of whole texts; words between ASCII white space are encoded once and remembered.
 
-    Holds for tokenizers that drop white space before they split, which is tested on the file itself;
-    texts that could hold a special string are encoded whole.
+    A batch is lower-cased (A-Z), split and dictionary-encoded by Arrow; its distinct words are looked up
+    in flat arrays of ids, and the ids of all its words gathered at once. Holds for tokenizers that lower
+    case and drop white space before they split, which is tested on the file itself; texts that could
+    hold a special string are encoded whole. New words of printable ASCII and Latin letters are cut by
+    the tokenizer's own pattern, and the parts given to its merges directly; other words go through
+    the library whole.
     """
 
     def __init__(self, path: str, cache_rows: int = CACHE_ROWS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.specials = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[bytes, bytes] = {}
+        self.specials = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache_rows = cache_rows
+        self.forget()
         one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.by_word = one(" Ab,\n\tc\r\x0b\x0cd") == [i for t in ("ab", ",", "c", "d") for i in one(t)]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids as 4-byte little-endian integers."""
-        got = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
-
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """As `encode`, for words without white space: as one text, whose tokens' offsets tell the words apart."""
-        plain = [w for w in words if w.isascii()]
-        if not plain:
-            return self.encode(words)
-        got = self.tokenizer.encode(b" ".join(plain).decode(), add_special_tokens=False)
-        begins = np.cumsum([0, *[len(w) + 1 for w in plain]])[:-1]
-        starts = np.fromiter((a for a, _ in got.offsets), dtype=np.int64, count=len(got))
-        ids, cuts = np.array(got.ids, dtype="<u4").tobytes(), [*(4 * np.searchsorted(starts, begins)).tolist(), 4 * len(got)]
-        out = {w: ids[a:b] for w, a, b in zip(plain, cuts, cuts[1:])}
-        other = [w for w in words if not w.isascii()]
-        out.update(zip(other, self.encode(other)))
-        return [out[w] for w in words]
+        self.parts = self._pattern()
+        self.model = self.tokenizer.model
+        self.alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def _pattern(self):
+        """The pattern that cuts a word, if that and a byte-level alphabet are all the tokenizer does before its merges."""
+        made = json.loads(self.tokenizer.to_str())
+        cut = (made["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        steps = [n.get("type") for n in (made["normalizer"] or {}).get("normalizers") or []]
+        plain = (steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cut] == ["Split", "ByteLevel"]
+                 and cut[0].get("behavior") == "Removed" and cut[0].get("invert") and "Regex" in cut[0].get("pattern", {})
+                 and not cut[1].get("add_prefix_space") and not cut[1].get("use_regex")
+                 and made["model"].get("type") == "BPE" and not made["model"].get("dropout"))
+        return regex.compile(cut[0]["pattern"]["Regex"]) if plain and self.by_word else None
+
+    def forget(self) -> None:
+        """An empty memory: words' slots, and where each slot's ids stand."""
+        self.slot: dict[str, int] = {}
+        self.flat, self.begin = np.empty(1 << 12, dtype="<u4"), np.zeros(1 << 10, dtype=np.int64)
+        self.slots = 0
+
+    def _put(self, lists: list[list[int]]) -> int:
+        """Append a slot for each list of ids; the number of the first."""
+        first = self.slots
+        ends = self.begin[first] + np.cumsum([len(x) for x in lists], dtype=np.int64)
+        for name, size in (("begin", first + len(lists) + 1), ("flat", int(ends[-1]) if len(ends) else 0)):
+            if size > len(held := getattr(self, name)):
+                setattr(self, name, np.concatenate([held, np.empty(max(size - len(held), len(held)), dtype=held.dtype)]))
+        self.begin[first + 1:first + 1 + len(lists)] = ends
+        if len(ends):
+            self.flat[self.begin[first]:ends[-1]] = [i for x in lists for i in x]
+        self.slots += len(lists)
+        return first
+
+    def _merged(self, part: str) -> list[int]:
+        """Ids of a part between cuts, straight from the model."""
+        if not part.isascii():
+            part = "".join(p for p, _ in self.alphabet.pre_tokenize_str(part))
+        return [t.id for t in self.model.tokenize(part)]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> list[list[int]]:
+        """Ids of new words without white space."""
+        cut = [self.parts.findall(w.lower()) if self.parts and _PLAIN.fullmatch(w) else None for w in words]
+        whole = iter(self.encode([w for w, parts in zip(words, cut) if parts is None]))
+        here: dict[str, list[int]] = {}
+        for part in {p for parts in cut if parts for p in parts}:
+            at = self.slot.get(part)
+            here[part] = (self.flat[self.begin[at]:self.begin[at + 1]].tolist() if at is not None else self._merged(part))
+        return [next(whole) if parts is None else [i for p in parts for i in here[p]] for parts in cut]
+
+    def _slots(self, words: list[str]) -> tuple[np.ndarray, int]:
+        """Slots of distinct words, learning the new ones, and how many slots to keep afterwards."""
+        get = self.slot.get
+        at = np.array([get(w, -1) for w in words], dtype=np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(self.slot) + len(new) > self.cache_rows:
+            self.forget()
+            new = np.arange(len(words))
+        # Long words are not remembered: their slots stand last and are given up.
+        new = np.array(sorted(new.tolist(), key=lambda i: len(words[i]) > _LONG_WORD), dtype=np.int64)
+        first = self._put(self._learn([words[i] for i in new.tolist()]))
+        at[new] = np.arange(first, first + len(new))
+        short = sum(len(words[i]) <= _LONG_WORD for i in new.tolist())
+        self.slot.update((words[i], first + k) for k, i in enumerate(new[:short].tolist()))
+        return at, first + short
+
+    def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(texts)
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        at, keep = self._slots(coded.dictionary.to_pylist())
+        of = at[coded.indices.to_numpy(zero_copy_only=False)]
+        begin, size = self.begin[of], self.begin[of + 1] - self.begin[of]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
+        self.slots = keep
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as 4-byte little-endian integers."""
+        ids, begins = self.encoded(pa.array([t.decode() for t in texts], pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(begins[:-1], begins[1:])]
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null as empty), one behind the other, and where each begins and, last, all end."""
         # The tokenizer lower-cases; doing that for A-Z first lets spellings share an entry.
-        low = [t.lower() for t in texts]
-        cut = [t.split() if self.by_word and not any(s in t for s in self.specials) else None for t in low]
-        cache, here, marked = self.cache, {}, {}
-        for w in set().union(*[words for words in cut if words]):
-            ids = cache.get(w)
-            if ids is not None:
-                here[w] = ids
-            elif m := _MARKED.fullmatch(w):
-                marked[w] = m.groups()
-            else:
-                here[w] = b""
-        new = [w for w, ids in here.items() if not ids]
-        new += {h for pair in marked.values() for h in pair if h not in here and h not in cache}
-        learned = dict(zip(new, self.encode_words(new)))
-        here.update(learned)
-        if len(cache) + len(new) > self.cache_rows:
-            held = {h: cache[h] for pair in marked.values() for h in pair if h in cache}
-            cache.clear()
-            here = held | here
-        cache.update((w, ids) for w, ids in learned.items() if len(w) <= _LONG_WORD)
-        for w, pair in marked.items():
-            here[w] = b"".join(here[h] if h in here else cache[h] for h in pair)
-        whole = iter(self.encode([t for t, words in zip(texts, cut) if words is None]))
-        get = here.__getitem__
-        return [next(whole) if words is None else b"".join(map(get, words)) for words in cut]
+        texts = pc.fill_null(texts, "")
+        low = pc.ascii_lower(texts)
+        whole = np.full(len(texts), not self.by_word)
+        for special in self.specials:
+            whole |= pc.match_substring(low, special).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_word(low)
+        ids, begins = self._by_word(low.filter(pa.array(~whole)))
+        parts = iter(np.split(ids, begins[1:-1]) if len(begins) > 1 else ())
+        other = iter(self.encode(texts.filter(pa.array(whole)).to_pylist()))
+        lists = [np.array(next(other), dtype="<u4") if w else next(parts) for w in whole]
+        return np.concatenate(lists), np.cumsum([0, *map(len, lists)])
 
 
 @lru_cache(maxsize=1)
@@ -139,6 +203,15 @@ def worker_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def runs_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about RUN_BYTES of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cell = (np.cumsum(sizes) - sizes) // RUN_BYTES
+    first = np.flatnonzero(np.diff(cell, prepend=-1)).tolist()
+    for a, b in zip(first, [*first[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def _open(uri: str):
     system, path = pyarrow.fs.FileSystem.from_uri(uri)
     return system, path
@@ -198,12 +271,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 1
         task = TaskContext.get()
         encoder, made = worker_encoder(tokenizer), []
         files = _Files(uri, task.partitionId(), task.taskAttemptId(), file_bytes)
-        end = struct.pack("<I", end_id)
         for batch in batches:
-            texts = list(texts_of(batch.column("text")))
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(texts)):
-                values = np.frombuffer(ids + end, dtype="<u4")
-                made.append(files.write(pack(doc_id, values), len(values)))
+            for run in runs_of(batch):
+                ids, begins = encoder.encoded(run.column("text"))
+                for doc_id, a, b in zip(run.column("doc_id").to_pylist(), begins[:-1].tolist(), begins[1:].tolist()):
+                    values = np.append(ids[a:b], np.uint32(end_id))
+                    made.append(files.write(pack(doc_id, values), len(values)))
         made.append(files.close())
         yield pa.RecordBatch.from_pylist([m for m in made if m], schema=_FILES_ARROW)
 
@@ -213,15 +286,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 1
 def read_token_files(spark: SparkSession, files: DataFrame, uri: str) -> DataFrame:
     """Read the files back, each in a task of its own: ``doc_id, start, n_tokens, ids_crc32``.
 
-    ``start`` counts the ids of all documents before; the file list gives each file's own start.
+    ``start`` counts the ids of all documents before; running sums over the file list give each file's own.
     """
-    listed = files.orderBy("file").collect()  # one small row per file of file_bytes
-    begun, base = [], 0
-    for row in listed:
-        begun.append((row["file"], base))
-        base += row["tokens"]
-    plan = spark.createDataFrame(begun or [("", 0)], "file string, base long").where("file <> ''")
-    plan = plan.repartition(max(1, min(len(begun), 10_000)), "file")
+    # Running sums in two steps: over a thousand writing tasks, a row each, and over the files of these.
+    many = F.substring("file", 1, 3)
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    listed = files.select("file", "tokens", many.alias("many"))
+    sums = listed.groupBy("many").agg(F.sum("tokens").alias("all")).select(
+        "many", F.coalesce(F.sum("all").over(before.orderBy("many")), F.lit(0)).alias("earlier"))
+    here = F.coalesce(F.sum("tokens").over(before.partitionBy("many").orderBy("file")), F.lit(0))
+    plan = listed.withColumn("here", here).join(sums, "many").select("file", (F.col("earlier") + F.col("here")).alias("base"))
+    plan = plan.repartition(max(1, min(files.count(), 10_000)), "file")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(uri)
