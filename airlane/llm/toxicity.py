@@ -17,20 +17,22 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlane.llm.common import prepare, schema_with, texts_of, with_columns
+from airlane.llm.common import prepare, schema_with, text_hash, texts_of, with_columns
 
-#: Bounds of the training: labelled rows, word features, folds.
-MAX_ROWS, MAX_FEATURES, FOLDS = 6_000, 2_000, 4
+#: Bounds of the training: labelled rows, their windows together, word features; folds.
+MAX_ROWS, MAX_WINDOWS, MAX_FEATURES, FOLDS = 6_000, 30_000, 2_000, 4
 #: Beginnings of words that are features besides the whole words, in characters.
 STEMS = (4, 5, 6)
-#: Most words of a window, least words its densities refer to, windows of a text that train.
-WINDOW, LEAST_WORDS, TRAINED = 200, 50, 8
+#: Most words of a window, least words its densities refer to, characters of a word that count.
+WINDOW, LEAST_WORDS, LONGEST = 200, 50, 40
 #: Windows of the long texts for which the cut is set.
 LONG_WINDOWS = 100
 #: Words whose places a worker remembers; beyond that it starts again.
@@ -39,8 +41,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def _features(word: str) -> list[str]:
-    """The word and, marked by ``*``, its beginnings."""
-    return [word[:40], *[word[:n] + "*" for n in STEMS if len(word) > n]]
+    """The word and, marked by ``*``, its beginnings; of a longer word, the first LONGEST characters count."""
+    return [word[:LONGEST], *[word[:n] + "*" for n in STEMS if len(word) > n]]
 
 
 def _words(text: str) -> list[str]:
@@ -59,36 +61,64 @@ def _density(counts: np.ndarray, n_words: np.ndarray | int) -> np.ndarray:
 
 
 def _trained(text: str) -> list[dict[str, list]]:
-    """Features and values of at most ``TRAINED`` windows, spread over the text."""
-    words = _words(text)
-    bounds, out = _bounds(len(words)), []
-    n = len(bounds) - 1
-    for k in range(n) if n <= TRAINED else [n * j // TRAINED for j in range(TRAINED)]:
-        part = words[bounds[k]:bounds[k + 1]]
+    """Features and values of every window of the text."""
+    words, out = _words(text), []
+    bounds = _bounds(len(words))
+    for begin, end in zip(bounds[:-1], bounds[1:]):
+        part = words[begin:end]
         counts = sorted(Counter(f for w in part for f in _features(w)).items())
         values = _density(np.array([c for _, c in counts], dtype=np.float64), len(part))
         out.append({"features": [f for f, _ in counts], "density": values.tolist()})
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.5, rounds: int = 150) -> np.ndarray:
-    """Weights and, last, the intercept; both classes weigh alike. Accelerated gradient descent."""
-    n, positive = len(y), float(y.sum())
+@dataclass(frozen=True)
+class Windows:
+    """Features of windows as flat arrays: window k holds the entries ``begin[k]`` to ``begin[k + 1]``."""
+
+    begin: np.ndarray
+    place: np.ndarray
+    value: np.ndarray
+    width: int
+
+    @property
+    def n(self) -> int:
+        return len(self.begin) - 1
+
+    @cached_property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.begin))
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """A sum per window of its values times the weights of their places."""
+        return np.bincount(self.row, weights=self.value * weights[self.place], minlength=self.n)
+
+    def against(self, rows: np.ndarray) -> np.ndarray:
+        """A sum per place of its values times the numbers of their windows."""
+        return np.bincount(self.place, weights=self.value * rows[self.row], minlength=self.width)
+
+
+def _logistic(x: Windows, earlier: np.ndarray, y: np.ndarray, used: np.ndarray, penalty: float = 0.5, rounds: int = 150) -> np.ndarray:
+    """Weights of the places, of the columns ``earlier`` and, last, the intercept, fitted on the rows ``used``.
+
+    Both classes weigh alike. Accelerated gradient descent; rows left out weigh nothing.
+    """
+    n, positive, width = int(used.sum()), float(y[used].sum()), x.width + earlier.shape[1] + 1
     if positive in (0.0, float(n)):
-        return np.append(np.zeros(x.shape[1]), 30.0 if positive else -30.0)
-    each = np.where(y > 0, 0.5 / positive, 0.5 / (n - positive)) * n
-    x = np.hstack([x, np.ones((n, 1), dtype=x.dtype)])
+        return np.append(np.zeros(width - 1), 30.0 if positive else -30.0)
+    each = np.where(y > 0, 0.5 / positive, 0.5 / (n - positive)) * n * used
+    times = lambda w: x.times(w[:x.width]) + earlier @ w[x.width:-1] + w[-1]
+    against = lambda r: np.concatenate([x.against(r), earlier.T @ r, [r.sum()]])
     # Largest curvature by a few power steps.
-    v = np.ones(x.shape[1], dtype=x.dtype)
+    v = np.ones(width)
     for _ in range(15):
-        v = x.T @ (each.astype(x.dtype) * (x @ v))
+        v = against(each * times(v))
         v /= np.linalg.norm(v)
-    curvature = 0.25 * float(v @ (x.T @ (each.astype(x.dtype) * (x @ v)))) * 1.1 + penalty
-    w = look = np.zeros(x.shape[1], dtype=np.float64)
+    curvature = 0.25 * float(v @ against(each * times(v))) * 1.1 + penalty
+    w = look = np.zeros(width)
     for t in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ look.astype(x.dtype), -30, 30)))
-        slope = x.T @ (each * (p - y)).astype(x.dtype)
-        slope = slope.astype(np.float64) + penalty * np.append(look[:-1], 0.0)
+        p = 1 / (1 + np.exp(-np.clip(times(look), -30, 30)))
+        slope = against(each * (p - y)) + penalty * np.append(look[:-1], 0.0)
         new = look - slope / curvature
         look, w = new + t / (t + 3) * (new - w), new
     return w
@@ -151,18 +181,18 @@ class Chain:
         return out
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+def fit_chain(x: Windows, labels: np.ndarray, folds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """One weight vector per label column, in order, and out-of-fold margins; see the module's text."""
-    earlier = np.zeros((len(x), 0), dtype=x.dtype)
+    earlier = np.zeros((x.n, 0))
     out, unseen = [], np.zeros(labels.shape)
     for j in range(labels.shape[1]):
-        y, full = labels[:, j], np.hstack([x, earlier])
-        out.append(_logistic(full, y))
+        y = labels[:, j]
+        out.append(_logistic(x, earlier, y, np.ones(x.n, dtype=bool)))
         for fold in np.unique(folds):
             held = folds == fold
-            w = _logistic(full[~held], y[~held])
-            unseen[held, j] = full[held] @ w[:-1] + w[-1]
-        earlier = np.hstack([earlier, _probability(unseen[:, j:j + 1]).astype(x.dtype)])
+            w = _logistic(x, earlier, y, ~held)
+            unseen[held, j] = (x.times(w[:x.width]) + earlier @ w[x.width:-1] + w[-1])[held]
+        earlier = np.hstack([earlier, _probability(unseen[:, j:j + 1])])
     return out, unseen
 
 
@@ -184,20 +214,23 @@ def cut_of(margins: np.ndarray, y: np.ndarray, n_windows: int = LONG_WINDOWS) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_rows: int = MAX_ROWS,
-          max_features: int = MAX_FEATURES, n_folds: int = FOLDS) -> Chain:
+          max_features: int = MAX_FEATURES, n_folds: int = FOLDS, max_windows: int = MAX_WINDOWS) -> Chain:
     """Fit the chain on at most ``max_rows`` labelled documents, those whose ids hash lowest.
 
-    ``labels``: ``doc_id`` and a 0/1 column per category; rows with a null in one of these take no
-    part, nor do null texts; of an id labelled twice, the largest label of each category holds. The
-    windows of a document bear its labels; folds keep them together. Word features are the
-    ``max_features`` whose presence in windows differs most (chi-square) for some category.
+    Of these, in the same order, whole documents up to ``max_windows`` windows together, one at least;
+    both bound what the driver holds. ``labels``: ``doc_id`` and a 0/1 column per category; rows with a
+    null in one of these take no part, nor do null texts; of an id labelled twice, the largest label of
+    each category holds; of an id with several texts, that of the smallest hash. The windows of a
+    document bear its labels; folds keep them together. Word features are the ``max_features`` whose
+    presence in windows differs most (chi-square) for some category.
     Without labelled rows, every probability is near 0.
     """
-    chosen = (labels.select("doc_id", *[F.col(c).cast("double").alias(f"label_{j}") for j, c in enumerate(categories)])
-              .dropna().groupBy("doc_id").agg(*[F.max(f"label_{j}").alias(f"label_{j}") for j in range(len(categories))])
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     names = [f"label_{j}" for j in range(len(categories))]
+    chosen = (labels.select("doc_id", *[F.col(c).cast("double").alias(n) for c, n in zip(categories, names)])
+              .dropna().groupBy("doc_id").agg(*[F.max(n).alias(n) for n in names])
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+    sample = (docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+              .groupBy("doc_id").agg(F.min_by(F.struct("text", *names), text_hash()).alias("of")).select("doc_id", "of.*"))
 
     window = pa.struct([("features", pa.list_(pa.string())), ("density", pa.list_(pa.float32()))])
 
@@ -210,10 +243,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_r
 
     prepare(docs.sparkSession)
     marked = "doc_id long, " + ", ".join(f"{c} double" for c in names)
-    rows = sample.mapInArrow(present, marked + ", windows array<struct<features: array<string>, density: array<float>>>"
-                             ).dropDuplicates(["doc_id"]).persist()
+    rows = sample.mapInArrow(present, marked + ", windows array<struct<features: array<string>, density: array<float>>>").persist()
     try:
-        cut = rows.select("doc_id", *names, F.posexplode("windows").alias("window", "of")).select(
+        upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # of at most max_rows narrow rows
+        within = (rows.select("doc_id", F.size("windows").alias("n")).withColumn("upto", upto)
+                  .where((F.col("upto") <= max_windows) | (F.col("upto") == F.col("n"))).select("doc_id"))
+        cut = rows.join(F.broadcast(within), "doc_id").select("doc_id", *names, F.posexplode("windows").alias("window", "of")).select(
             "doc_id", *names, "window", "of.features", "of.density")
         totals = cut.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in names]).first()
         n = totals["n"]
@@ -235,23 +270,23 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], max_r
                          for fs, vs in zip(batch.column("features"), batch.column("density"))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), *[batch.column(c) for c in names], batch.column("window"),
-                     pa.array([[p for p, _ in row] for row in pairs], pa.list_(pa.int16())),
+                     pa.array([[p for p, _ in row] for row in pairs], pa.list_(pa.int32())),
                      pa.array([[v for _, v in row] for row in pairs], pa.list_(pa.float32()))],
                     names=["doc_id", *names, "window", "at", "density"])
 
-        # At most TRAINED windows of max_rows rows, with a small integer and a float per feature met.
-        known = sorted(cut.mapInArrow(placed, marked + ", window int, at array<short>, density array<float>").collect(),
-                       key=lambda r: (r.doc_id, r.window))
+        # At most max_windows rows, with a place and a value per feature met, as Arrow buffers.
+        known = cut.mapInArrow(placed, marked + ", window int, at array<int>, density array<float>").toArrow()
     finally:
         rows.unpersist()
-    x = np.zeros((len(known), len(places)), dtype=np.float32)
-    for i, row in enumerate(known):
-        x[i, row.at] = row.density
-    y = np.array([[row[c] for c in names] for row in known]).reshape(len(known), len(names))
-    if not len(known):
+    if not known.num_rows:
         return Chain(categories, places, tuple(np.append(np.zeros(j), -30.0) for j in range(len(names))), (None,) * len(names))
-    folds = np.unique([row.doc_id for row in known], return_inverse=True)[1] % max(2, n_folds)
-    del known
+    known = known.take(pc.sort_indices(known.select(["doc_id", "window"]), [("doc_id", "ascending"), ("window", "ascending")]))
+    at, density = known["at"].combine_chunks(), known["density"].combine_chunks()
+    x = Windows(np.concatenate([[0], np.cumsum(pc.list_value_length(at).to_numpy())]), at.flatten().to_numpy(),
+                density.flatten().to_numpy(), len(places))
+    y = np.stack([known[c].to_numpy() for c in names], axis=1)
+    folds = np.unique(known["doc_id"].to_numpy(), return_inverse=True)[1] % max(2, n_folds)
+    del known, at, density
     weights, unseen = fit_chain(x, y, folds)
     return Chain(categories, places, tuple(weights), tuple(cut_of(unseen[:, j], y[:, j]) for j in range(len(names))))
 
