@@ -35,23 +35,29 @@ def _delete(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
-def staged(rows: DataFrame, name: str) -> DataFrame:
-    """Rows written once to the shared folder of ``spark.checkpoint.dir`` and read back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    For plans that scan their input more than once and whose input is dear to compute. A local
-    session without that setting gets a temporary folder; a cluster must name one. The folder's
-    owner empties it.
+    A local session without that setting gets a temporary folder of its own; a cluster must name one.
     """
-    spark = rows.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="airlane-"))
         base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once to the shared folder, see `shared_folder`, and read back.
+
+    For plans that scan their input more than once and whose input is dear to compute. The folder's
+    owner empties it.
+    """
+    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema=STORED_SCHEMA) -> DataFrame:
