@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlane.sources import tables
+
 #: Rows per Arrow batch of a pass over texts; Spark also cuts batches by bytes.
 ROWS_PER_BATCH = 512
 
@@ -21,18 +22,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder of ``spark.checkpoint.dir``.
-
-    Unset, a local session gets a temporary folder of its own; a cluster must name one.
-    """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="airlane-"))
-        base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared folder of ``spark.checkpoint.dir``, see `tables.shared_folder`."""
+    return f"{tables.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -46,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(frame: DataFrame, **keys) -> DataFrame:
+    """The frame's rows as one struct ``row`` beside key columns, whose names then meet no column of the caller."""
+    return frame.select(F.struct("*").alias("row"), *[column.alias(name) for name, column in keys.items()])
+
+
 def text_hash(column: str = "text"):
     """Tells rows under one id apart; null and empty differ."""
     return F.xxhash64(F.col(column).isNull(), F.col(column))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlane.llm.common import prepare, schema_with, stored, text_hash, texts_of, with_columns
+from airlane.llm.common import packed, prepare, schema_with, stored, text_hash, texts_of, with_columns
 
 #: Words of a window and of a prefix shingle.
 WINDOW, SHINGLE = 13, 5
@@ -318,7 +318,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     results = grouped.mapInArrow(_merged, "doc_id long, text_hash long, times long, " + RESULT)
     if not carry:
         return results.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("again", "times", "text_hash")
-    rest = docs.drop(*_NAMES).withColumn("text_key", text_hash())
-    results = results.drop("times").withColumnRenamed("doc_id", "own_id")
-    return (rest.join(results, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("text_hash")))
-            .drop("own_id", "text_key", "text_hash"))
+    key = lambda h: F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), h.alias("h"))  # noqa: E501, E731
+    found = results.select(key(F.col("text_hash")).alias("key"), *_NAMES)
+    return packed(docs.drop(*_NAMES), key=key(text_hash())).join(found, "key").select("row.*", *_NAMES)

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlane.llm.common import stored, text_hash
+from airlane.llm.common import packed, stored, text_hash
 
 #: Sites a line must stand on to be boilerplate; buckets of a sketch as a power of two.
 MIN_SITES, LG_BUCKETS = 5, 12
@@ -53,11 +53,12 @@ def without_shared_lines(docs: DataFrame, site: str = "source", min_sites: int =
     cuts = (lines.join(shared_lines(lines, min_sites, lg_buckets), ["a", "b"])
             .groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("cuts")))
     cuts = cuts.select(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-                                "text_hash").alias("row_key"), "cuts")
-    kept = docs.select([c for c in docs.columns if c not in ("n_lines", "n_removed", "cleaned")])
-    keyed = kept.withColumn("row_key", F.struct(
+                                "text_hash").alias("key"), "cuts")
+    kept = docs.drop("n_lines", "n_removed", "cleaned")
+    keyed = packed(kept, key=F.struct(
         F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), text_hash().alias("text_hash")))
-    split = F.split("text", "\n")
+    text = F.col("row.text")
+    split = F.split(text, "\n")
     none = F.array().cast("array<int>")
     cut = F.coalesce("cuts", none)
     # Runs of lines between two cuts; each run is copied once, however many there are.
@@ -66,8 +67,7 @@ def without_shared_lines(docs: DataFrame, site: str = "source", min_sites: int =
     runs = F.transform(F.arrays_zip(froms.alias("f"), upto.alias("u")),
                        lambda r: F.slice(split, r["f"] + 2, r["u"] - r["f"] - 1))
     filled = F.size(F.filter(split, lambda s: F.trim(s, F.lit(" \t\r")) != ""))
-    return (keyed.join(cuts, "row_key", "left").drop("row_key")
-            .withColumns({"n_lines": F.when(F.col("text").isNull(), 0).otherwise(filled).cast("long"),
-                          "n_removed": F.coalesce(F.size("cuts"), F.lit(0)).cast("long"),
-                          "cleaned": F.when(F.col("cuts").isNull(), F.col("text"))
-                          .otherwise(F.array_join(F.flatten(runs), "\n"))}).drop("cuts"))
+    made = F.struct(F.when(text.isNull(), 0).otherwise(filled).cast("long").alias("n_lines"),
+                    F.coalesce(F.size("cuts"), F.lit(0)).cast("long").alias("n_removed"),
+                    F.when(F.col("cuts").isNull(), text).otherwise(F.array_join(F.flatten(runs), "\n")).alias("cleaned"))
+    return keyed.join(cuts, "key", "left").select("row", made.alias("made")).select("row.*", "made.*")

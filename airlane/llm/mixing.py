@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlane.llm.common import stored, text_hash
+from airlane.llm.common import packed, stored, text_hash
 
 #: Weights of the sources in order, repeating; share of all words to take; most copies of a document.
 WEIGHTS, SHARE, MOST = (3, 1, 2), (3, 2), 2
@@ -138,13 +138,13 @@ def mixed(docs: DataFrame, seed: int = 8, group_rows: int = GROUP_ROWS, fan_in:
 def mix(docs: DataFrame, seed: int = 8, group_rows: int = GROUP_ROWS, fan_in: int = FAN_IN) -> DataFrame:
     """The documents, each row as often as `mixed` takes it, with the same columns."""
     key = lambda *of: F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(
-        F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), *of).alias("row_key")
+        F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), *of)
     drawn = _drawn(docs, seed, group_rows, fan_in).where("copies > 0").select(
-        key(F.col("h"), F.col("none"), F.col("name")), F.col("copies").alias("row_copies"), F.col("rows").alias("row_rows"))
-    keyed = docs.withColumn("row_key", key(text_hash().alias("h"), F.col("source").isNull().alias("none"),
-                                           F.coalesce("source", F.lit("")).alias("name")))
-    place = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key")) - 1
-    times = _own(F.col("row_copies"), F.col("row_rows"), F.col("row_place"))
-    placed = keyed.join(drawn, "row_key").withColumn("row_place", place).withColumn("row_times", times.cast("int"))
-    return (placed.where("row_times > 0").withColumn("row_again", F.explode(F.sequence(F.lit(1), F.col("row_times"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+        key(F.col("h"), F.col("none"), F.col("name")).alias("key"), "copies", "rows")
+    keyed = packed(docs, key=key(text_hash().alias("h"), F.col("source").isNull().alias("none"),
+                                 F.coalesce("source", F.lit("")).alias("name")))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("key")) - 1
+    times = _own(F.col("copies"), F.col("rows"), F.col("place"))
+    placed = keyed.join(drawn, "key").withColumn("place", place).withColumn("times", times.cast("int"))
+    again = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("again")
+    return placed.where("times > 0").select("row", again).select("row.*")

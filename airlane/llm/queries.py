@@ -145,16 +145,16 @@ FROM turns GROUP BY conv_id
 
 OP2_SQL = """
 WITH v AS (
-  SELECT vec_id, [floor(64 * c::DOUBLE)::BIGINT for c in embedding] AS x FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, [floor(64 * c::DOUBLE)::BIGINT for c in embedding] AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([c for c in embedding if c IS NOT NULL AND isfinite(c)]) = len(embedding)
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.vec_id AS query_id, q.row AS query_row, c.vec_id, c.row,
     CAST(list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[]) AS BIGINT) AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+  FROM v q JOIN v c ON c.row <> q.row WHERE q.vec_id % 20 = 0
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+  SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
 OP4_SQL = r"""

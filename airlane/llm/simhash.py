@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlane.llm.common import prepare, schema_with, stored, text_hash, texts_of, with_columns
+from airlane.llm.common import packed, prepare, schema_with, stored, text_hash, texts_of, with_columns
 from airlane.llm.components import components
 
 #: Words of a shingle, seed of its hash, most differing bits, least shared bytes.
@@ -124,9 +124,10 @@ def without_near_duplicates(docs: DataFrame, paired: int = PAIRED) -> DataFrame:
     found = groups(docs, paired)
     kept = (found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("row"))
             .select(F.struct(F.col("row.none").alias("none"), F.coalesce("row.doc_id", F.lit(0).cast("long")).alias("id"),
-                             F.col("row.h").alias("h")).alias("row_key")))
-    keyed = docs.withColumn("row_key", F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(
+                             F.col("row.h").alias("h")).alias("key")))
+    keyed = packed(docs, key=F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(
         F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), text_hash().alias("h")))
-    place = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
-    once = keyed.join(kept.distinct(), "row_key").withColumn("row_place", place).where("row_place = 1")
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Repeated rows go before the join, so that each task sends one of them.
+    place = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    once = keyed.withColumn("place", place).where("place = 1").join(kept, "key")
+    return once.select("row.*")

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import io
+import math
 import random
 import zlib
 
@@ -83,23 +84,47 @@ def test_top_k_edges(llm):
     vectors += [(1000, None), (1020, [None] * 6), (1040, [float("nan")] * 6), (1060, [float("inf")] * 6), (None, [1.0] * 6),
                 (1080, [1.0]), (1100, [0.0] * 6), (40, vectors[40][1])]
     frame = llm.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    held = {}
-    for i, v in vectors:
-        if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v):
-            held[i] = [int(np.floor(64 * np.float64(np.float32(c)))) for c in v] + [0] * (6 - len(v))
-    expected = {(q, r + 1): (c, s) for q in held if q % 20 == 0 for r, (s, c) in enumerate(sorted(
-        ((sum(a * b for a, b in zip(held[q], held[c])), c) for c in held if c != q), key=lambda x: (-x[0], x[1]))[:20])}
-    for block_rows, query_rows in ((32_768, 512), (50, 4)):
-        found = topk.top_k(topk.scaled(frame), F.col("vec_id") % 20 == 0, 20, block_rows, query_rows).collect()
-        assert {(r[0], r[1]): (r[2], r[3]) for r in found} == expected
+    frame = frame.withColumns({c: F.lit("x") for c in ("x", "d", "row", "asks", "rank", "score", "query_id")})
+    check_top_k(frame, vectors, 6)
     assert topk.top_k(topk.scaled(frame.limit(0)), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def check_top_k(frame, vectors, width):
+    """Every row a candidate and, if its id is divisible by 20, a query of its own: whole numbers in plain Python."""
+    held = [(i, [math.floor(64 * float(c)) for c in v] + [0] * (width - len(v))) for i, v in vectors
+            if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    expected = collections.Counter()
+    for a, (q, x) in enumerate(held):
+        if q % 20 == 0:
+            every = sorted((-sum(m * n for m, n in zip(x, y)), c) for b, (c, y) in enumerate(held) if b != a)[:20]
+            expected.update((q, r + 1, c, -s) for r, (s, c) in enumerate(every))
+    for block_rows, slice_bytes in ((topk.BLOCK_ROWS, topk.SLICE_BYTES), (50, 4 * 8 * width)):
+        found = topk.top_k(topk.scaled(frame), F.col("vec_id") % 20 == 0, 20, block_rows, slice_bytes).collect()
+        assert collections.Counter(map(tuple, found)) == expected
+
+
+def test_top_k_of_wide_and_large_vectors(llm):
+    random.seed(4)
+    for width, size in ((128, 0.3), (128, 1e3), (3, 3e6), (1, 4e7)):
+        vectors = [(i % 150, [random.uniform(-size, size) for _ in range(width)]) for i in range(160)]
+        check_top_k(llm.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3), vectors, width)
+
+
+def test_scores_beyond_64_bits_raise(llm):
+    rows = [(0, [6e6] * 128), (1, [6e6] * 128), (2, [1.0] * 128)]
+    frame = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        topk.top_k(topk.scaled(frame), F.col("vec_id") == 0)
+    with pytest.raises(ValueError):
+        topk.top_k(topk.scaled(llm.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")), F.col("vec_id") == 0)
+
+
 def test_threshold_stops_early():
     rng = np.random.default_rng(5)
     block = rng.integers(-20, 20, (30_000, 3))
-    query = np.array([[5, -3, 1]])
-    (_, ids, scores), = topk.best_of_block(query, np.array([-1]), block, np.arange(30_000), 20)
+    query, best = np.array([[5, -3, 1]]), topk.Best(1, 20)
+    topk.search_block(query, np.array([-1]), block, np.arange(30_000), np.arange(30_000), best)
+    scores, ids = best.of[0][0], best.of[0][1]
     every = block @ query[0]
     order = np.lexsort((np.arange(30_000), -every))[:20]
     assert ids.tolist() == order.tolist() and scores.tolist() == every[order].tolist()
