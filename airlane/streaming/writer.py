@@ -1,4 +1,4 @@
-"""Durable writer: history, live snapshots and dead letters from the message log.
+"""Durable writer: history, live table and dead letters from the message log.
 
 One query reads the log from the earliest offset and writes all three from one classification
 of each micro-batch. It moves on only after every write succeeded, and repeating a micro-batch
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airlane.functions import times
-from airlane.operators import deadletter, history, latest, retention, validate
+from airlane.operators import deadletter, history, latest, validate
 from airlane.schemas import HISTORY_RETENTION_HOURS, LIVE_RETENTION_HOURS, STORED_SCHEMA
 from airlane.sources import log, tables
 
@@ -51,19 +51,28 @@ def write_history(events: DataFrame, path: str, horizon_hours: int | None = HIST
 
 def write_live(events: DataFrame, path: str, retention_hours: int = LIVE_RETENTION_HOURS,
                keep_versions: int = 24) -> None:
-    """Merge valid events into the live table and its open members, as the next snapshot."""
+    """Merge valid events into the live table and its open members, as the next version.
+
+    Only the aircraft of the batch are looked up, and only those it changed are written. Rows
+    older than the retention, by the newest log time of the events, leave the table; a repeated
+    batch has the same time and changes nothing. An empty batch writes nothing.
+    """
     spark = events.sparkSession
+    newest = events.agg(F.max(log_time())).first()[0]
+    if newest is None:
+        return
     current = tables.read_live(spark, path)
-    now = times.instant_to_utc(F.current_timestamp())
-    taken = latest.accepted_after(current, events).persist()
-    merged = latest.fold(taken).select(*current.columns)
-    kept = retention.retain_by_age(merged, now, retention_hours).persist()
+    met = current.join(events.select("icao24").distinct(), "icao24", "left_semi").select(*current.columns)
+    taken = latest.accepted_after(met, events).persist()
     try:
-        members = latest.merge_members(tables.read_members(spark, path), taken)
-        tables.write_live(kept, path, members.join(kept.select("icao24"), "icao24", "left_semi"))
-        tables.drop_old_versions(spark, path, keep_versions)
+        changed = taken.where("_turn = 1").select("icao24").distinct()
+        merged = latest.fold(taken).select(*current.columns).join(changed, "icao24", "left_semi")
+        known = tables.read_members(spark, path).join(changed, "icao24", "left_semi")
+        members = latest.merge_members(known, taken)
+        tables.write_changes(merged, members, path, newest - timedelta(hours=retention_hours))
+        tables.compact_live(spark, path)
+        tables.drop_old_versions(spark, path, keep_versions, fold=False)
     finally:
-        kept.unpersist()
         taken.unpersist()
 
 
