@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from bisect import bisect_left
 from datetime import date, datetime, timedelta
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,39 +15,14 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from airlane.operators import latest
 from airlane.schemas import HISTORY_RETENTION_HOURS, HISTORY_SCHEMA, MEMBER_SCHEMA, STORED_SCHEMA
-
+from airlane.sources import manifest, storage
+from airlane.sources.manifest import BY_DATE, NO_DATE
 
 #: Ids of a batch that are sent to all tasks reading stored ids, about 100 MB at most; more are joined by shuffling.
 MOST_SENT_IDS = 500_000
-#: Names of the date directories of history.
-_BY_DATE, _NO_DATE = "ingest_date=", "__HIVE_DEFAULT_PARTITION__"
-
-
-def _location(spark: SparkSession, path: str):
-    """A path and its file system, as Hadoop objects."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    where, files = _location(spark, path)
-    return files.exists(where)
-
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries of a directory, none when it does not exist."""
-    root, files = _location(spark, path)
-    return [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
 
-
-def _bytes(spark: SparkSession, path: str) -> int:
-    where, files = _location(spark, path)
-    return files.getContentSummary(where).getLength() if files.exists(where) else 0
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where, files = _location(spark, path)
-    files.delete(where, True)
+exists, _names, _bytes, _delete = storage.exists, storage.names, storage.size, storage.delete
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -77,11 +53,22 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str, schema=STORED_SCHEMA) -> DataFrame:
     """A stored table by its explicit schema; filters and projections reach the files.
 
-    ``HISTORY_SCHEMA`` also reads the members outside the typed event.
+    ``HISTORY_SCHEMA`` also reads the members outside the typed event. Of history whose dates have
+    been rewritten, the live files are read, see `manifest`.
     """
+    if exists(spark, f"{path}/{manifest.MANIFESTS}"):
+        return scan(spark, path, schema, manifest.live(spark, path))
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def scan(spark: SparkSession, path: str, schema: StructType, live: tuple[list[str], list[str]]) -> DataFrame:
+    """History rows of some appended and some rewritten files; filters and projections reach both."""
+    bases = path, f"{path}/{manifest.COMPACTED}"
+    parts = [spark.read.schema(schema).option("basePath", base).parquet(*where).select(*schema.names)
+             for base, where in zip(bases, live) if where]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
 def write_history(rows: DataFrame, path: str, mode: str = "append") -> None:
     """Write history rows by ingestion date, ordered so that row groups prune by aircraft.
 
@@ -127,7 +114,7 @@ def append_history(rows: DataFrame, path: str,
 
 def _dates_near(spark: SparkSession, path: str, days: list[date | None], within: int | None) -> list[date | None]:
     """Stored dates (None: rows without one) at most ``within`` days from one of ``days``."""
-    stored = _dates(spark, path)
+    stored = dates(spark, path)
     if within is None:
         return stored
     wanted = sorted(d for d in days if d is not None)
@@ -152,29 +139,39 @@ def _same_window(stored: DataFrame, asked: DataFrame, within: int | None) -> Dat
 
 def stored_ids(spark: SparkSession, path: str, dates: list[date | None]) -> DataFrame:
     """``_id, ingest_date`` of the history in some date directories; no other directory is listed or read."""
-    where = [f"{path}/{_date_directory(d)}" for d in dates]
-    return spark.read.schema("_id STRING, ingest_date DATE").option("basePath", path).parquet(*where)
+    schema = StructType([HISTORY_SCHEMA["_id"], HISTORY_SCHEMA["ingest_date"]])
+    return scan(spark, path, schema, manifest.live(spark, path, [date_directory(d) for d in dates]))
 
 
-def _date_directory(day: date | None) -> str:
-    return f"{_BY_DATE}{_NO_DATE if day is None else day.isoformat()}"
+def date_directory(day: date | None) -> str:
+    return f"{BY_DATE}{NO_DATE if day is None else day.isoformat()}"
 
 
-def _dates(spark: SparkSession, path: str) -> list[date | None]:
+def dates(spark: SparkSession, path: str) -> list[date | None]:
     """Dates of the history's directories, in order; None, last, for rows without an ingestion time."""
-    names = [n.removeprefix(_BY_DATE) for n in _names(spark, path) if n.startswith(_BY_DATE)]
-    return [*sorted(date.fromisoformat(n) for n in names if n != _NO_DATE), *([None] if _NO_DATE in names else [])]
+    names = [n.removeprefix(BY_DATE) for n in _names(spark, path) if n.startswith(BY_DATE)]
+    return [*sorted(date.fromisoformat(n) for n in names if n != NO_DATE), *([None] if NO_DATE in names else [])]
 
 
 def drop_expired(spark: SparkSession, path: str, before: datetime) -> list[str]:
     """Delete the date directories that lie wholly before a time; returns their dates.
 
-    Any date counts, also one that a wrong clock has set. Rows without an ingestion time stay.
+    Any date counts, also one that a wrong clock has set. Rows without an ingestion time stay. Of a
+    rewritten date, an interrupted deletion leaves the directory, which is found again.
     """
-    expired = [d.isoformat() for d in _dates(spark, path) if d is not None and d < before.date()]
+    expired = [d for d in dates(spark, path) if d is not None and d < before.date()]
+    rewritten = manifest.numbers(spark, path) if expired else {}
     for day in expired:
-        _delete(spark, f"{path}/{_BY_DATE}{day}")
-    return expired
+        directory = date_directory(day)
+        known = rewritten.get(directory, [])
+        if known:
+            gone = manifest.data_files(spark, f"{path}/{directory}")
+            manifest.commit(spark, path, directory, manifest.Manifest(known[-1] + 1, [], gone))
+            _delete(spark, f"{path}/{manifest.COMPACTED}/{directory}")
+        _delete(spark, f"{path}/{directory}")
+        for number in [*known, *([known[-1] + 1] if known else [])]:
+            manifest.forget(spark, path, directory, number)
+    return [d.isoformat() for d in expired]
 
 
 # -- the live table: a base and the changes of the batches since ---------------------------------------
@@ -348,7 +345,7 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     names = _names(spark, path)
     if any(n.startswith(("version=", "changes=")) for n in names):
         return read_live(spark, path).isEmpty()
-    return not names or spark.read.schema(STORED_SCHEMA).parquet(path).isEmpty()
+    return not names or read_table(spark, path).isEmpty()
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
