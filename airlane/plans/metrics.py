@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from airlane.operators import metrics
+from airlane.operators import metrics, recording
 from airlane.plans import views
 from airlane.plans.registry import query
+from airlane.sources import tables
 
 _AS_OF = "(SELECT max(ts) FROM events)"
 
@@ -98,6 +99,33 @@ def counter_increase_1h(spark, sf_dir):
     return metrics.increase_by(_counter(spark, sf_dir), ["pod"], 60)
 
 
+@query(
+    f"""
+WITH {_INCREASES.format(counter=views.COUNTER, minutes=5)}
+SELECT window_start, route, status_code, round(sum(growth) / 300, 9) AS rate
+FROM grown GROUP BY ALL
+"""
+)
+def recorded_rate_by_label(spark, sf_dir):
+    """Request rate in five-minute windows, from stored minute summaries."""
+    kept = tables.staged(recording.summaries(_counter(spark, sf_dir)), "minutes")
+    rows = metrics.by_label(recording.rates(kept), ["route", "status_code"], F.sum, "rate", ["window_start"])
+    return rows.withColumn("rate", F.round("rate", 9))
+
+
+@query(
+    f"""
+WITH {_INCREASES.format(counter=views.COUNTER, minutes=60)}
+SELECT window_start, pod, sum(growth) AS increase FROM grown GROUP BY ALL
+"""
+)
+def recorded_increase_1h(spark, sf_dir):
+    """Counter growth per pod in one-hour windows, from minute summaries merged to ten minutes."""
+    kept = tables.staged(recording.summaries(_counter(spark, sf_dir)), "minutes")
+    grown = recording.increases(recording.merge(kept, 10), 60)
+    return metrics.by_label(grown, ["pod"], F.sum, "increase", ["window_start"])
+
+
 @query(
     f"""
 WITH {_INCREASES.format(counter=views.COUNTER, minutes=5)},
