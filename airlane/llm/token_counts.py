@@ -1,8 +1,9 @@
 """Token counts of whole texts by a two-tier lookup, without any shuffle of pre-tokens.
 
 A text is cut where white space follows other characters; the byte-level tokenizer never joins bytes
-over such a place, so the counts of the pieces add up. A broadcast table holds the counts of frequent
-pieces; others are encoded once per worker and kept in a bounded cache.
+over such a place, so the counts of the pieces add up. A broadcast table, the first tier, holds the
+token counts of the pieces that are frequent in all documents; others are encoded once per worker and
+kept in its bounded cache, the second tier.
 """
 
 from __future__ import annotations
@@ -10,17 +11,22 @@ from __future__ import annotations
 import json
 import os
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from airlane.llm.common import prepare, schema_with, texts_of, with_columns
 
-#: Documents whose pieces fill the broadcast table, entries of it, and the longest piece it or a cache keeps.
-SAMPLE_ROWS, TABLE_ROWS, PIECE_BYTES = 256, 65_536, 48
-#: Entries a worker knows at most, the table's included; beyond that it starts again from the table.
+#: Entries of the broadcast table, and the longest piece it or a cache keeps.
+TABLE_ROWS, PIECE_BYTES = 65_536, 48
+#: Pieces a task counts at a time, and how many of its commonest it hands to the aggregation.
+COUNTED_ROWS, TOLD_ROWS = 262_144, 16_384
+#: Entries of a worker's cache; beyond that it starts again.
 CACHE_ROWS = 500_000
 
 _PIECE = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -31,8 +37,17 @@ _ODD_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200d\\u2
 _MARKED = re.compile(rb"([ \n]?[A-Za-z]+)([.,;:!?])")
 
 
+class _FirstTier(dict):
+    """Counts of frequent pieces, never changed; what it lacks is looked up in ``cache``."""
+
+    cache: dict[bytes, int]
+
+    def __missing__(self, piece: bytes) -> int:
+        return self.cache[piece]
+
+
 class PieceCounter:
-    """Token counts by one tokenizer file: ``known`` starts as the broadcast table and grows by misses."""
+    """Token counts by one tokenizer file: a fixed ``table`` of frequent pieces, and a ``cache`` of misses."""
 
     def __init__(self, path: str, table: dict[bytes, int] | None = None, cache_rows: int = CACHE_ROWS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,8 +61,8 @@ class PieceCounter:
         before = made["pre_tokenizer"] or {}
         self.cuts = (made["normalizer"] is None and before.get("type") == "ByteLevel"
                      and before.get("use_regex") and not before.get("add_prefix_space"))
-        self.table, self.cache_rows = table or {}, cache_rows
-        self.known = dict(self.table)
+        self.table, self.cache_rows = _FirstTier(table or {}), cache_rows
+        self.cache = self.table.cache = {}
 
     def encode(self, pieces: list[bytes]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False)]
@@ -60,38 +75,66 @@ class PieceCounter:
 
     def __call__(self, texts: list[bytes]) -> list[int]:
         cut = [self.pieces(t) for t in texts]
-        missing = {p for pieces in cut if pieces for p in pieces}
-        if len(self.known) + len(missing) > self.cache_rows:
-            self.known = dict(self.table)
-        missing.difference_update(self.known)
+        missing = {p for pieces in cut if pieces for p in pieces}.difference(self.table)
+        if len(self.cache) + len(missing) > self.cache_rows:
+            self.cache.clear()
+        missing.difference_update(self.cache)
+        known = lambda p: p in self.table or p in self.cache
         marked = {p: m.groups() for p in missing if (m := _MARKED.fullmatch(p))}
-        plain = (missing - marked.keys()) | {half for pair in marked.values() for half in pair if half not in self.known}
-        plain = list(plain)
-        self.known.update(zip(plain, self.encode(plain)))
-        self.known.update((p, self.known[a] + self.known[b]) for p, (a, b) in marked.items())
+        halves = {half for pair in marked.values() for half in pair if not known(half)}
+        plain = list((missing - marked.keys()) | halves)
+        self.cache.update(zip(plain, self.encode(plain)))
+        count = self.table.__getitem__
+        self.cache.update([(p, count(a) + count(b)) for p, (a, b) in marked.items()])
         whole = iter(self.encode([t for t, pieces in zip(texts, cut) if pieces is None]))
-        count = self.known.__getitem__
         out = [next(whole) if pieces is None else sum(map(count, pieces)) for pieces in cut]
-        for p in missing:
+        for p in {*missing, *halves}:
             if len(p) > PIECE_BYTES:
-                del self.known[p]
+                del self.cache[p]
         return out
 
 
-def frequent_pieces(docs: DataFrame, tokenizer: str, rows: int = SAMPLE_ROWS, entries: int = TABLE_ROWS) -> dict[bytes, int]:
-    """Counts of the commonest pieces of ``rows`` texts; what it holds changes speed, not results."""
+_worker: dict[tuple[str, str], PieceCounter] = {}
 
-    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, seen = PieceCounter(tokenizer), Counter()
-        for batch in batches:
-            for text in texts_of(batch.column("text")):
-                seen.update(p for p in counter.pieces(text) or () if len(p) <= PIECE_BYTES)
-        best = [p for p, _ in seen.most_common(entries)]
-        yield pa.RecordBatch.from_arrays([pa.array(best, pa.binary()), pa.array(counter.encode(best), pa.int32())],
+
+def worker_counter(tokenizer: str, key: str, table: Broadcast | None = None) -> PieceCounter:
+    """The worker's counter for one call, told apart by ``key``; its tasks share tokenizer, table and cache."""
+    if (tokenizer, key) not in _worker:
+        _worker.clear()
+        _worker[tokenizer, key] = PieceCounter(tokenizer, table.value if table else None)
+    return _worker[tokenizer, key]
+
+
+def commonest(texts: Iterator[list[bytes] | None], rows: int = COUNTED_ROWS, told: int = TOLD_ROWS) -> list[tuple[bytes, int]]:
+    """The pieces that occur most, of lists of pieces, with about how often.
+
+    Holds ``rows`` pieces and those of one text at most: when there are more, the commonest half stays.
+    """
+    seen: Counter[bytes] = Counter()
+    for pieces in texts:
+        seen.update(pieces or ())
+        if len(seen) > rows:
+            seen = Counter(dict(seen.most_common(rows // 2)))
+    return [(p, n) for p, n in seen.most_common() if len(p) <= PIECE_BYTES][:told]
+
+
+def frequent_pieces(docs: DataFrame, tokenizer: str, entries: int = TABLE_ROWS) -> dict[bytes, int]:
+    """Token counts of the commonest pieces of all texts; what it holds changes speed, not results.
+
+    Every task counts its pieces within bounds and hands on its commonest; these are added up by
+    aggregation, and at most ``entries`` pieces of bounded length come to the driver.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = worker_counter(tokenizer, "pieces")
+        best = commonest(counter.pieces(t) for batch in batches for t in texts_of(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in best], pa.binary()), pa.array([n for _, n in best], pa.int64())],
                                          names=["piece", "n"])
 
-    some = docs.select("text").where("text IS NOT NULL").limit(rows).coalesce(1)
-    return {bytes(r.piece): r.n for r in some.mapInArrow(common, "piece binary, n int").collect()}
+    counted = docs.select("text").where("text IS NOT NULL").mapInArrow(told, "piece binary, n long")
+    best = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(entries).select("piece").collect()
+    pieces = [bytes(r.piece) for r in best]
+    return dict(zip(pieces, PieceCounter(tokenizer).encode(pieces)))
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, carry: bool = True) -> DataFrame:
@@ -103,10 +146,10 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, carry: bool
     names; every row counts for itself. ``carry``: keep the text.
     """
     prepare(docs.sparkSession)
-    table = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, tokenizer))
+    table, key = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, tokenizer)), uuid.uuid4().hex
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(tokenizer, table.value)
+        counter = worker_counter(tokenizer, key, table)
         for batch in batches:
             texts = list(texts_of(batch.column("text")))
             n = counter(texts)
