@@ -253,28 +253,6 @@ def test_token_counts_equal_the_library(llm):
     assert token_counts.token_counts(docs(llm, []), path).count() == 0
 
 
-def test_token_table_covers_all_documents(llm):
-    """Whatever the order of the rows, the first tier holds what is frequent in all; the cache holds the rest."""
-    path = tokenizer("byte_bpe_50k.json")
-    rows = [(i, "alpha beta " * 3, "a") for i in range(300)] + [(300 + i, "gamma delta gamma " + "x" * 60, "b") for i in range(400)]
-    wide = docs(llm, rows).repartitionByRange(4, "doc_id")
-    assert set(token_counts.frequent_pieces(wide, path, entries=4)) == {b" alpha", b" beta", b" gamma", b" delta"}
-    assert token_counts.frequent_pieces(docs(llm, []), path) == {}
-    texts = (f"w{i % 7} w{i}".encode().split() for i in range(1000))
-    best = token_counts.commonest(texts, rows=40, told=7)
-    assert {p for p, _ in best} == {f"w{i}".encode() for i in range(7)}
-    counter = token_counts.PieceCounter(path, {b" of": 1, b"gamma": counted(path, "gamma")})
-    assert counter([b"gamma of delta, of " + b"y" * 60]) == [counted(path, "gamma of delta, of " + "y" * 60)]
-    assert set(counter.table) == {b" of", b"gamma"} and b" delta," in counter.cache
-    assert not any(len(p) > token_counts.PIECE_BYTES for p in counter.cache)
-
-
-def counted(path, text):
-    from tokenizers import Tokenizer
-
-    return len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
-
-
 def test_word_encoder_equals_the_library():
     encoder = token_files.WordEncoder(tokenizer("word_bpe_49k.json"), cache_rows=30)
     assert encoder.by_word
