@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -425,3 +426,26 @@ def test_revisits(llm):
     expected[3, 1000, digest(big), "revisit", 3] += 1
     assert collections.Counter(map(tuple, found)) == expected
     assert warc.archived(frame.limit(0)).count() == 0
+
+
+def test_token_counts_in_runs_and_tiers():
+    """Odd texts among others, cut into small runs, with tiny tiers and long pieces: as the library."""
+    counter = token_counts.PieceCounter(tokenizer("byte_bpe_50k.json"), {b" of": 1, b"\n\n": 1}, cache_rows=30)
+    random.seed(4)
+    texts = [random.choice([random.choice(ODD), " ".join(random.choice(["of", "a.\nb", "é", "", "x" * 60, "\t"]) for _ in range(9))])
+             for _ in range(300)]
+    expected = counter.encode([t or "" for t in texts])
+    assert counter.counted(pa.array(texts, pa.string())).tolist() == expected
+    assert counter.counted(pa.chunked_array([pa.array(texts[:9], pa.string()), pa.array(texts[9:], pa.string())])).tolist() == expected
+    assert counter.counted(pa.array([], pa.string())).tolist() == []
+    assert not any(len(p) > token_counts.PIECE_CHARS for p in [*counter.cache, *counter.parts])
+
+
+def test_the_frequent_pieces_come_from_all_documents(llm):
+    """Pieces of the last rows, frequent there alone, reach the table; the bounded counter keeps the commonest."""
+    path = tokenizer("byte_bpe_50k.json")
+    rows = [(i, f"start u{i} v{i}", "s") for i in range(600)] + [(1000 + i, "start late " * 3 + "end", "s") for i in range(40)]
+    table = token_counts.frequent_pieces(docs(llm, rows), path, entries=3)
+    assert set(table) == {b" start", b" late", b"start"} and all(n >= 1 for n in table.values())
+    told = token_counts.commonest(iter([([f"p{i}", "often"], np.array([1, 5])) for i in range(100)]), rows=10, told=1)
+    assert told == [("often", 500)]
