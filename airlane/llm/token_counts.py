@@ -168,13 +168,14 @@ def worker_counter(tokenizer: str, key: str, table: Broadcast | None = None) ->
 def commonest(counts: Iterator[tuple[list[str], np.ndarray]], rows: int = COUNTED_ROWS, told: int = TOLD_ROWS) -> list[tuple[str, int]]:
     """The pieces that occur most, of distinct pieces and their occurrences, with about how often.
 
-    Holds ``rows`` pieces and those of one run of texts at most: when there are more, the commonest half stays.
+    Holds ``rows`` pieces and those of one run of texts at most: when there are more, those above the middle count stay.
     """
     seen: Counter[str] = Counter()
     for pieces, occurrences in counts:
         seen.update(dict(zip(pieces, occurrences.tolist())))
         if len(seen) > rows:
-            seen = Counter(dict(seen.most_common(rows // 2)))
+            middle = np.median(np.fromiter(seen.values(), dtype=np.int64, count=len(seen)))
+            seen = Counter({p: n for p, n in seen.items() if n > middle})
     return [(p, n) for p, n in seen.most_common(told) if len(p) <= PIECE_CHARS]
 
 
@@ -182,7 +183,8 @@ def frequent_pieces(docs: DataFrame, tokenizer: str, entries: int = TABLE_ROWS)
     """Token counts of the commonest pieces of all texts; what it holds changes speed, not results.
 
     Every task counts its pieces within bounds and hands on its commonest; these are added up by
-    aggregation, and at most ``entries`` pieces of bounded length come to the driver.
+    aggregation. Eighth powers of two part the sums into at most 512 levels, and the highest whole
+    levels of together at most ``entries`` pieces of bounded length come to the driver.
     """
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +201,16 @@ def frequent_pieces(docs: DataFrame, tokenizer: str, entries: int = TABLE_ROWS)
                                          names=["piece", "n"])
 
     counted = docs.select("text").where("text IS NOT NULL").mapInArrow(told, "piece string, n long")
-    best = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(entries).select("piece").collect()
-    pieces = [r.piece for r in best]
+    summed = counted.groupBy("piece").agg(F.sum("n").alias("n")).withColumn("level", F.floor(8 * F.log2("n"))).persist()
+    try:
+        held, least = 0, None
+        for level, size in sorted(summed.groupBy("level").count().collect(), reverse=True):
+            if (held := held + size) > entries:
+                break
+            least = level
+        pieces = [] if least is None else [r.piece for r in summed.where(F.col("level") >= least).select("piece").collect()]
+    finally:
+        summed.unpersist()
     return dict(zip([p.encode() for p in pieces], PieceCounter(tokenizer).count(pieces)))
 
 
