@@ -176,7 +176,7 @@ def commonest(counts: Iterator[tuple[list[str], np.ndarray]], rows: int = COUNTE
         if len(seen) > rows:
             middle = np.median(np.fromiter(seen.values(), dtype=np.int64, count=len(seen)))
             seen = Counter({p: n for p, n in seen.items() if n > middle})
-    return [(p, n) for p, n in seen.most_common(told) if len(p) <= PIECE_CHARS]
+    return [(p, n) for p, n in seen.most_common(told) if n and len(p) <= PIECE_CHARS]
 
 
 def frequent_pieces(docs: DataFrame, tokenizer: str, entries: int = TABLE_ROWS) -> dict[bytes, int]:
@@ -201,7 +201,8 @@ def frequent_pieces(docs: DataFrame, tokenizer: str, entries: int = TABLE_ROWS)
                                          names=["piece", "n"])
 
     counted = docs.select("text").where("text IS NOT NULL").mapInArrow(told, "piece string, n long")
-    summed = counted.groupBy("piece").agg(F.sum("n").alias("n")).withColumn("level", F.floor(8 * F.log2("n"))).persist()
+    summed = counted.groupBy("piece").agg(F.sum("n").alias("n"))
+    summed = summed.withColumn("level", F.floor(8 * F.log2("n"))).persist()
     try:
         held, least = 0, None
         for level, size in sorted(summed.groupBy("level").count().collect(), reverse=True):
