@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlane.functions import redact, times
 from airlane.operators import deadletter, history, live, normalize, validate
 from airlane.plans import views
 from airlane.plans.registry import query
+from airlane.sources import area as stored_area
 from airlane.sources import snapshots as snapshot_source
+from airlane.sources import tables
 
 _AS_OF = "(SELECT date_trunc('milliseconds', max(ts)) FROM events)"
 
@@ -152,6 +158,26 @@ def area_filter_wide(spark, sf_dir):
     return rows.select("_id", "latitude", "longitude")
 
 
+@query(
+    f"""
+WITH {views.POSITIONS_SQL}
+SELECT box, _id, latitude, longitude
+FROM positions JOIN (VALUES ('dateline', -60e0, 150e0, 60e0, -150e0), ('north', 60e0, -20e0, 90e0, 35e0),
+                            ('south', -75.5e0, -64.25e0, -30e0, 10e0)) AS boxes(box, south, west, north, east)
+  ON latitude BETWEEN south AND north
+ AND (longitude BETWEEN west AND east OR (west > east AND (longitude >= west OR longitude <= east)))
+"""
+)
+def area_by_cells(spark, sf_dir):
+    """Positions stored along the space-filling order, read for three boxes, one across the date line."""
+    rows = views.positions(spark, sf_dir).select("_id", "latitude", "longitude")
+    path = f"{tables.shared_folder(spark)}/cells-{uuid.uuid4().hex}"
+    stored_area.write_by_cell(rows, path)
+    boxes = {"dateline": (-60.0, 150.0, 60.0, -150.0), "north": (60.0, -20.0, 90.0, 35.0), "south": (-75.5, -64.25, -30.0, 10.0)}
+    found = [stored_area.read_box(spark, path, rows.schema, box).select(F.lit(name).alias("box"), "*") for name, box in boxes.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     f"""
 WITH {views.SNAPSHOTS_SQL}

@@ -1,0 +1,101 @@
+"""The space-filling order: cells, ranges that cover a box, row groups that a box skips."""
+
+import math
+import random
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from airlane.operators import area, normalize
+from airlane.plans import views
+from airlane.sources import area as stored
+
+PLACES = "id long, latitude double, longitude double"
+EDGES = [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (-0.0, 179.999999999), (35.0, 25.0), (43.5, 46.0),
+         (math.nextafter(35.0, 0), 25.0), (91.0, 10.0), (-95.0, 200.0), (math.nan, 1.0), (1.0, math.nan),
+         (math.inf, 1.0), (None, 1.0), (1.0, None)]
+BOXES = [(35.0, 25.0, 43.5, 46.0), (-90.0, -180.0, 90.0, 180.0), (0.0, 0.0, 0.0, 0.0), (-10.0, 170.0, 10.0, -170.0),
+         (89.0, -180.0, 90.0, 180.0), (-90.0, 179.5, 90.0, -179.5), (10.0, 0.0, -10.0, 1.0), (0.0, -1e-9, 1e-9, 1e-9)]
+
+
+def inside(box, lat, lon):
+    south, west, north, east = box
+    if lat is None or lon is None or not south <= lat <= north:
+        return False
+    return west <= lon <= east if west <= east else west <= lon <= 180 or -180 <= lon <= east
+
+
+def interleaved(lat, lon):
+    row, column = area._step_of(lat, -90.0, 180.0), area._step_of(lon, -180.0, 360.0)
+    return sum((row >> k & 1) << 2 * k + 1 | (column >> k & 1) << 2 * k for k in range(area.BITS))
+
+
+def test_cells_alternate_the_bits(spark):
+    random.seed(1)
+    places = [p for p in EDGES if None not in p and not any(map(math.isnan, p))]
+    places += [(random.uniform(-90, 90), random.uniform(-180, 180)) for _ in range(300)]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], PLACES)
+    found = dict(rows.select("id", area.cell()).collect())
+    assert found == {i: interleaved(*p) for i, p in enumerate(places)}
+    assert spark.createDataFrame([(1, None, 2.0)], PLACES).select(area.cell()).first()[0] is None
+
+
+@pytest.mark.parametrize("most", [2, 8, 32])
+def test_ranges_cover_the_box(most):
+    random.seed(most)
+    boxes = list(BOXES)
+    for _ in range(60):
+        (a, b), (c, d) = sorted(random.uniform(-90, 90) for _ in "ab"), [random.uniform(-180, 180) for _ in "ab"]
+        boxes.append((a, c, b, d))
+    for box in boxes:
+        spans = area.ranges(box, most)
+        assert len(spans) <= most and spans == area._joined(spans)
+        assert (spans == []) == (box[0] > box[2])
+        for s, w, n, e in area.parts(box):
+            for lat, lon in [(s, w), (n, e), (s, e), (n, w)] + [(random.uniform(s, n), random.uniform(w, e)) for _ in range(50)]:
+                assert any(x <= interleaved(lat, lon) <= y for x, y in spans), (box, lat, lon)
+    tight = sum(y - x + 1 for x, y in area.ranges((35.0, 25.0, 43.5, 46.0))) / 4**area.BITS
+    assert 8.5 * 21 / (180 * 360) <= tight < 2 * 8.5 * 21 / (180 * 360)
+
+
+def test_boxes_equal_the_comparison(spark, tmp_path):
+    random.seed(7)
+    places = EDGES + EDGES + [(random.uniform(-90, 90), random.uniform(-180, 180)) for _ in range(2000)] + [(40.0, 30.0)] * 700
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], PLACES)
+    stored.write_by_cell(rows.withColumn(area.CELL, F.lit("caller's")), str(tmp_path / "cells"))
+    back = stored.read_by_cell(spark, str(tmp_path / "cells"), rows.schema)
+    assert back.count() == len(places)
+    for box in BOXES:
+        expected = sorted(i for i, p in enumerate(places) if inside(box, *p))
+        read = stored.read_box(spark, str(tmp_path / "cells"), rows.schema, box)
+        assert read.columns == rows.columns
+        assert sorted(r.id for r in read.collect()) == expected, box
+        assert sorted(r.id for r in area.in_box(rows, box).collect()) == expected, box
+        if box[1] <= box[3]:
+            assert sorted(r.id for r in normalize.in_box(rows, box).collect()) == expected, box
+    stored.write_by_cell(rows.limit(0), str(tmp_path / "none"))
+    assert stored.read_box(spark, str(tmp_path / "none"), rows.schema, BOXES[1]).count() == 0
+
+
+def test_a_small_box_reads_few_row_groups(spark, tmp_path, capsys):
+    path = str(tmp_path / "cells")
+    rows = views.positions(spark, "/root/testdata/sf0.1").select("_id", "icao24", "observed_at", "latitude", "longitude")
+    stored.write_by_cell(rows, path, row_group_bytes=1 << 16)
+    box = (35.0, 25.0, 43.5, 46.0)
+    spans, groups, met, held = area.ranges(box), 0, 0, 0
+    for file in Path(path).glob("*.parquet"):
+        about = pq.ParquetFile(file).metadata
+        at = about.schema.to_arrow_schema().names.index(area.CELL)
+        for k in range(about.num_row_groups):
+            least = about.row_group(k).column(at).statistics
+            groups += 1
+            met += least.has_min_max and any(least.min <= last and least.max >= first for first, last in spans)
+    stored.read_box(spark, path, rows.schema, box).explain("formatted")
+    plan = capsys.readouterr().out
+    pushed = plan[plan.index("PushedFilters"):].split("\n")[0]
+    assert f"GreaterThanOrEqual({area.CELL}" in pushed and f"LessThanOrEqual({area.CELL}" in pushed
+    assert groups >= 8 and met <= max(3, groups // 4), (met, groups)
+    found = stored.read_box(spark, path, rows.schema, box).count()
+    assert found == normalize.in_box(rows, box).count() > 0

@@ -29,7 +29,7 @@ def test_query(spark, db, name):
     assert problem is None, problem
 
 
-BITES = ["area_filter_wide", "live_list_page5", "aircraft_history_page10", "history_top20_all",
+BITES = ["area_filter_wide", "area_by_cells", "redact_documents", "live_list_page5", "aircraft_history_page10", "history_top20_all",
          "route_points_20", "feed_search_top5", "live_retained_6h", "redact_json_members"]
 
 
