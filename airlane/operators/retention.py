@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +75,25 @@ def next_offsets(messages: DataFrame, topic="kafka_topic", partition="kafka_part
     return messages.groupBy(topic, partition).agg((F.max(offset) + 1).alias("next_offset"))
 
 
+def join_positions(*vectors: DataFrame) -> DataFrame:
+    """Position vectors ``topic, partition, next_offset`` as one; the greatest offset of a partition holds."""
+    return reduce(DataFrame.unionByName, vectors).groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset"))
+
+
+def after_positions(messages: DataFrame, positions: DataFrame, topic="topic", partition="partition",
+                    offset="offset") -> DataFrame:
+    """The messages, batch or stream, at or after the next offset of their log partition.
+
+    Those of a partition without a position stay, so nothing is lost. A position vector has a row
+    per log partition; how it reaches the messages is left to Spark's size-checked choice.
+    """
+    known = positions.select(F.col("topic").alias("_topic"), F.col("partition").alias("_partition"),
+                             F.col("next_offset").alias("_next"))
+    met = (messages[topic] == known["_topic"]) & (messages[partition] == known["_partition"])
+    told = messages.join(known, met, "left")
+    return told.where(F.col("_next").isNull() | (F.col(offset) >= F.col("_next"))).select(*messages.columns)
+
+
 def consumer_lag(committed: DataFrame, latest: DataFrame) -> DataFrame:
     """Lag per partition a group has joined; a negative commit means none yet."""
     behind = F.when(

@@ -181,6 +181,25 @@ def feed_merge(spark, sf_dir):
     return feed(spark, sf_dir).select(*_FEED_COLUMNS).orderBy(*latest.feed_order())
 
 
+@query(
+    f"""
+WITH {views.POSITIONS_SQL}
+SELECT {', '.join(_FEED_COLUMNS)}
+FROM positions
+QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY observed_at DESC, kafka_offset DESC) = 1
+"""
+)
+def feed_resync(spark, sf_dir):
+    """Snapshot of the first half of two of three log partitions, and the feed from its positions on: no gap, no repeat."""
+    rows = views.positions(spark, sf_dir).select(*_FEED_COLUMNS, "kafka_topic").withColumn(
+        "kafka_partition", (F.col("kafka_offset") % 3).cast("int"))
+    half = rows.agg(F.max("kafka_offset") / 2).scalar()
+    before = rows.where((F.col("kafka_partition") < 2) & (F.col("kafka_offset") <= half))
+    positions = retention.next_offsets(before).withColumnsRenamed({"kafka_topic": "topic", "kafka_partition": "partition"})
+    after = retention.after_positions(rows, positions, "kafka_topic", "kafka_partition", "kafka_offset")
+    return latest.merge_feed(latest.latest(before, "last"), after).select(*_FEED_COLUMNS)
+
+
 @query(
     f"""
 WITH {_FEED_SQL}

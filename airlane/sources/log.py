@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlane.schemas import BATCH_INTERVAL_MS, BATCH_MAX_MESSAGES, MESSAGE_SCHEMA
 
+#: Kafka's name for the first offset there is.
+EARLIEST = -2
+
 
 def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
                  max_per_trigger: int | None = None, **options: str) -> DataFrame:
@@ -29,6 +34,15 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str =
     return reader.load().select(*MESSAGE_SCHEMA.names)
 
 
+def starting_offsets(positions: DataFrame, partitions: dict[str, int]) -> str:
+    """Kafka's ``startingOffsets`` for a position vector; partitions without one start at the earliest.
+
+    ``partitions`` holds the number of partitions per topic: Kafka wants all of them named.
+    """
+    known = {(r.topic, r.partition): r.next_offset for r in positions.collect()}  # a row per log partition
+    return json.dumps({t: {str(p): known.get((t, p), EARLIEST) for p in range(n)} for t, n in partitions.items()})
+
+
 def stream_files(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Log reader on Parquet files that carry the log's columns."""
     return (

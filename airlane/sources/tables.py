@@ -11,9 +11,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from airlane.operators import latest
+from airlane.operators import latest, retention
 from airlane.schemas import HISTORY_RETENTION_HOURS, HISTORY_SCHEMA, MEMBER_SCHEMA, STORED_SCHEMA
 from airlane.sources import manifest, storage
 from airlane.sources.manifest import BY_DATE, NO_DATE
@@ -22,6 +22,10 @@ from airlane.sources.manifest import BY_DATE, NO_DATE
 MOST_SENT_IDS = 500_000
 
 
+#: Where reading goes on after a version of a live table: a row per log partition.
+POSITION_SCHEMA = StructType([StructField("topic", StringType()), StructField("partition", IntegerType()),
+                              StructField("next_offset", LongType())])
+
 exists, _names, _bytes, _delete = storage.exists, storage.names, storage.size, storage.delete
 
 
@@ -284,11 +288,13 @@ def write_live(rows: DataFrame, path: str, members: DataFrame | None = None, ver
     return version
 
 
-def write_changes(rows: DataFrame, members: DataFrame, path: str, cut: datetime | None = None) -> int:
+def write_changes(rows: DataFrame, members: DataFrame, path: str, cut: datetime | None = None,
+                  positions: DataFrame | None = None) -> int:
     """Write the rows that a batch changed, with all members of their aircraft, as the next version.
 
     Rows ingested up to ``cut`` leave the table with this version; the cut never goes back. What
     is written follows the batch, not the table. Members first, the rows commit, as for a base.
+    ``positions``: the next offset of every log partition in the batch, see `read_positions`.
     """
     spark = rows.sparkSession
     version = max(versions(spark, path), default=-1) + 1
@@ -296,11 +302,27 @@ def write_changes(rows: DataFrame, members: DataFrame, path: str, cut: datetime
     before = files.cut(files.of()[1])
     cut = max((c for c in (cut, before) if c is not None), default=None)
     name = f"changes={version}" + ("" if cut is None else f".{(cut - datetime(1970, 1, 1)) // timedelta(milliseconds=1)}")
+    if positions is not None:
+        told = retention.join_positions(read_positions(spark, path), positions).select(*POSITION_SCHEMA.names)
+        told.coalesce(1).write.mode("overwrite").parquet(f"{path}/positions/version={version}")
     for part, schema, where in ((members, MEMBER_SCHEMA, f"{path}/members/{name}"), (rows, STORED_SCHEMA, f"{path}/{name}")):
         part.select(*schema.names, F.lit(version).cast("long").alias("_version")).write.mode("overwrite").parquet(where)
     return version
 
 
+def read_positions(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """``topic, partition, next_offset``: a committed version, the newest by default, holds the log before these offsets.
+
+    A partition the version has not met has no row. A version written whole, such as a restored
+    archive, has none at all: whoever goes on from it reads the log from its start.
+    """
+    version = max(versions(spark, path), default=None) if version is None else version
+    where = f"{path}/positions/version={version}"
+    if version is None or not exists(spark, f"{where}/_SUCCESS"):
+        return spark.createDataFrame([], POSITION_SCHEMA)
+    return spark.read.schema(POSITION_SCHEMA).parquet(where)
+
+
 def compact_live(spark: SparkSession, path: str, share: float = 0.25, most: int = 64, least: int = 4) -> int | None:
     """Fold the newest base and the changes since into a base of the same version, if there are many.
 
@@ -337,6 +359,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 3, fold: bool
         for name in [f"version={version}", *([files.changes[version][0]] if version in files.changes else [])]:
             _delete(spark, f"{path}/{name}")
             _delete(spark, f"{path}/members/{name}")
+        _delete(spark, f"{path}/positions/version={version}")
     return dropped
 
 

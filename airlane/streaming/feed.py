@@ -39,13 +39,18 @@ def resume_positions(batch: DataFrame) -> DataFrame:
 
 
 def start_feed(messages: DataFrame, publish: Publish, checkpoint: str, coalesce: bool = False,
-               report: Callable[[dict, int], None] | None = None, **trigger) -> StreamingQuery:
+               report: Callable[[dict, int], None] | None = None, positions: DataFrame | None = None,
+               **trigger) -> StreamingQuery:
     """Publish every micro-batch; a failed publish fails the batch, which is then repeated.
 
     ``report`` gets the counters of each published batch: ``received``, ``skipped``,
     ``published`` and ``newest_ingested_at``. Batches follow each other as the reader ends
-    them, see `log.stream_realtime`.
+    them, see `log.stream_realtime`. With the ``positions`` of a snapshot the feed begins with the
+    first message after it, see `tables.read_positions`; they must not change under a checkpoint.
     """
+    if positions is not None:
+        messages = retention.after_positions(messages, positions)
+
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airlane.functions import times
-from airlane.operators import deadletter, history, latest, validate
+from airlane.operators import deadletter, history, latest, retention, validate
 from airlane.schemas import HISTORY_RETENTION_HOURS, LIVE_RETENTION_HOURS, STORED_SCHEMA
 from airlane.sources import log, tables
 
@@ -50,12 +50,13 @@ def write_history(events: DataFrame, path: str, horizon_hours: int | None = HIST
 
 
 def write_live(events: DataFrame, path: str, retention_hours: int = LIVE_RETENTION_HOURS,
-               keep_versions: int = 24) -> None:
+               keep_versions: int = 24, positions: DataFrame | None = None) -> None:
     """Merge valid events into the live table and its open members, as the next version.
 
     Only the aircraft of the batch are looked up, and only those it changed are written. Rows
     older than the retention, by the newest log time of the events, leave the table; a repeated
-    batch has the same time and changes nothing. An empty batch writes nothing.
+    batch has the same time and changes nothing. An empty batch writes nothing. ``positions``,
+    the batch's next offsets, are kept with the version, see `tables.read_positions`.
     """
     spark = events.sparkSession
     newest = events.agg(F.max(log_time())).first()[0]
@@ -69,7 +70,7 @@ def write_live(events: DataFrame, path: str, retention_hours: int = LIVE_RETENTI
         merged = latest.fold(taken).select(*current.columns).join(changed, "icao24", "left_semi")
         known = tables.read_members(spark, path).join(changed, "icao24", "left_semi")
         members = latest.merge_members(known, taken)
-        tables.write_changes(merged, members, path, newest - timedelta(hours=retention_hours))
+        tables.write_changes(merged, members, path, newest - timedelta(hours=retention_hours), positions)
         tables.compact_live(spark, path)
         tables.drop_old_versions(spark, path, keep_versions, fold=False)
     finally:
@@ -88,7 +89,8 @@ def write_batch(batch: DataFrame, batch_id: int, history_path: str, live_path: s
         dead_letters(deadletter.to_messages(envelopes), batch_id)
         events = validate.valid(classified)
         write_history(events, history_path, horizon_hours, history_retention_hours)
-        write_live(events, live_path, live_retention_hours)
+        positions = retention.next_offsets(classified).withColumnsRenamed({"kafka_topic": "topic", "kafka_partition": "partition"})
+        write_live(events, live_path, live_retention_hours, positions=positions)
     finally:
         classified.unpersist()
 
