@@ -218,10 +218,10 @@ FROM events
 """
 )
 def metric_ratio(spark, sf_dir):
-    """Percentage from two gauges of the same series and time."""
+    """Percentage from two gauges of the same scrape, one row per scrape however many share series and time."""
     rows = views.samples(spark, sf_dir).withColumn("route", metrics.label("route"))
-    percent = metrics.percent_used(rows, "freshness_seconds", "memory_bytes", ["ts", "route"])
-    return percent.withColumn("percent", F.round("percent", 9))
+    percent = metrics.percent_used(rows, "freshness_seconds", "memory_bytes", ["ts", "route", "scrape"])
+    return percent.select("ts", "route", F.round("percent", 9).alias("percent"))
 
 
 _REQUESTS_SQL = """

@@ -8,7 +8,7 @@ remainder alone and never parses the text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,8 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Narrow events dealt over the tasks, as the partitions of a log or many landed files bring them.
+def arrivals(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
+    """Narrow events, and columns of the files' rows, dealt over the tasks, as the partitions of a log or many landed files bring them.
 
     Always, whatever the table's size: the work per row that follows outweighs this shuffle. The
     session's number of shuffle partitions is taken as it is, since adaptive execution would join
@@ -29,7 +29,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     columns = ["event_id", "ts", "user_id", "event_type", "value", "props"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return table(spark, sf_dir, "events").select(*columns).repartition(parts, "event_id")
+    return table(spark, sf_dir, "events").select(*columns, *more).repartition(parts, "event_id")
 
 
 # --------------------------------------------------------------------------
@@ -328,10 +328,15 @@ COUNTER = "CAST(event_id % 5000 AS DOUBLE)"
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three gauges/counters per event, labelled by route, status and pod."""
+    """Three gauges/counters per event, labelled by route, status and pod.
+
+    ``scrape`` tells which samples were taken together: the place of their event in the files, since
+    events of one time and series, and whole events, may repeat.
+    """
+    place = F.struct("_metadata.file_path", "_metadata.row_index").alias("scrape")
     return spark.sql(
         f"""
-        SELECT ts, s.metric, map('route', event_type,
+        SELECT ts, scrape, s.metric, map('route', event_type,
                    'status_code', CASE WHEN user_id % 10 = 0 THEN '500' ELSE '200' END,
                    'pod', 'pod-' || CAST(user_id % 4 AS STRING)) AS labels, s.value
         FROM {{events}}
@@ -340,7 +345,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             named_struct('metric', 'freshness_seconds', 'value', value),
             named_struct('metric', 'memory_bytes', 'value', value * 1000 + 1))) s
         """,
-        events=arrivals(spark, sf_dir),
+        events=arrivals(spark, sf_dir, place),
     )
 
 

@@ -174,3 +174,19 @@ def test_request_counts(spark):
     found = {r.status_code: r.requests for r in metrics.request_counts(rows).collect()}
     assert found == {"200": 3, "500": 1}
     assert metrics.by_label(samples(spark, [(0, {}, 2), (0, {}, 3)]), [], F.sum).first()[0] == 5.0
+
+
+def test_ratio_of_repeated_events(spark, tmp_path):
+    """Events of one time and route, of one series, and whole events that repeat: a row each, with its own value."""
+    import __spark_entry__ as entry
+
+    second = T0 + timedelta(seconds=1)
+    rows = [(1, T0, 4, "view", 5.0), (2, T0, 4, "view", 7.0), (2, T0, 4, "view", 7.0), (2, T0, 8, "view", 7.0),
+            (3, T0, 5, "view", 1.0), (None, T0, 5, "view", 1.5), (4, T0, 5, "click", 1.0), (5, second, 5, "view", 9.0)]
+    events = spark.createDataFrame([(*row, '{"k": 1}') for row in rows],
+                                   "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    found = entry.queries()["metric_ratio"](spark, str(tmp_path))
+    assert found.columns == ["ts", "route", "percent"]
+    assert sorted(map(tuple, found.collect())) == sorted(
+        (ts, route, round(100 * (1 - v / (v * 1000 + 1)), 9)) for _, ts, _, route, v in rows)
