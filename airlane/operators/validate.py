@@ -7,6 +7,9 @@ ingested_at, schema_version, event_id, on_ground.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,7 +89,10 @@ def _type(name: str) -> Column:
 
 
 def _inspect(parsed: DataFrame) -> DataFrame:
-    """Ruled members and their typed readings, step by step so that none is computed twice."""
+    """Ruled members and their typed readings, step by step so that none is computed twice.
+
+    Each member is a copy of all names of its document, so none is carried past its readings.
+    """
     text = {n: F.when(_type(n) == "STRING", _member(n, "string"))
             for n in ("observed_at", "ingested_at", "event_id")}
     return (
@@ -104,9 +110,12 @@ def _inspect(parsed: DataFrame) -> DataFrame:
                 "_ingested_text": text["ingested_at"],
                 "_digits": uuid_digits(text["event_id"]),
                 "_version": payload.number(_member("schema_version"), _type("schema_version")),
+                "_true_version": (_type("schema_version") == "BOOLEAN")
+                & _member("schema_version", "boolean"),
                 "_ground": F.when(
                     _type("on_ground") == "BOOLEAN", _member("on_ground", "boolean")
                 ),
+                "_ground_number": payload.number(_member("on_ground"), _type("on_ground")),
             }
         )
         .withColumns(
@@ -116,6 +125,7 @@ def _inspect(parsed: DataFrame) -> DataFrame:
                 "_uuid": canonical_uuid(F.col("_digits")),
             }
         )
+        .drop("_members")
     )
 
 
@@ -141,14 +151,14 @@ def error_code() -> Column:
         (
             "schema_version",
             _absent(version) | (F.col("_version") == SCHEMA_VERSION)
-            | ((_type(version) == "BOOLEAN") & _member(version, "boolean")),
+            | F.col("_true_version"),
         ),
         ("event_id", _absent("event_id") | F.col("_uuid").isNotNull()),
         # 0 and 1 compare equal to booleans and pass as unknown state.
         (
             "on_ground",
             _absent(ground) | _type(ground).isin("BOOLEAN", "VOID")
-            | payload.number(_member(ground), _type(ground)).isin(0.0, 1.0),
+            | F.col("_ground_number").isin(0.0, 1.0),
         ),
     ]
     code = F
@@ -173,7 +183,8 @@ def _lost(name: str) -> Column:
     differs = value.isNull()
     if isinstance(kind, T.IntegralType):
         differs = differs | (_member(name, "double") != value)
-    return _member(name).isNotNull() & ~payload.is_json_null(_member(name)) & differs
+    # The JSON type, the dearest to tell, is asked last and of few.
+    return _member(name).isNotNull() & differs & ~payload.is_json_null(_member(name))
 
 
 def _other_members(mistyped) -> Column:
@@ -190,7 +201,9 @@ def _other_members(mistyped) -> Column:
         F.when(_lost(n), F.struct(F.lit(n).alias("name"), F.to_json(_member(n)).alias("json")))
         for n in mistyped
     )))
-    every = F.map_concat(other, F.map_from_entries(originals))
+    # Most documents have lost nothing: the array of originals is built for the others alone.
+    lost = reduce(or_, (F.coalesce(_lost(n), F.lit(False)) for n in mistyped))
+    every = F.when(lost, F.map_concat(other, F.map_from_entries(originals))).otherwise(other)
     return F.when(F.size(every) > 0, every)
 
 

@@ -173,3 +173,21 @@ def test_carry_and_window_share_one_shuffle(spark):
     # Rows, the chunk summaries, their window and its join: the rows are dealt once.
     assert plan.count("Exchange hashpartitioning(_key") == 2
     assert plan.index("Window") < plan.index("SortMergeJoin") < plan.index("Exchange")
+
+
+@pytest.mark.parametrize("name", ["export_rows", "table_counts"])
+def test_both_tables_share_one_parse(spark, tmp_path, name):
+    """Messages are parsed before the two tables part, once; each message of the small log still counts in both."""
+    import __spark_entry__ as entry
+
+    events = spark.createDataFrame(
+        [(i, datetime(2024, 1, 1, 0, i), i % 2, "view", 1.0, '{"k": 1}') for i in range(20, 30)],
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = entry.queries()[name](spark, str(tmp_path))
+    assert "parseJson" not in found._jdf.queryExecution().optimizedPlan().toString()
+    if name == "table_counts":
+        assert {r.table: r.rows for r in found.collect()} == {"raw_positions": 10, "live_positions": 2, "*": 12}
+    else:
+        newest = {(r.collection, r._id, r.kafka_offset, r.observed_at) for r in found.collect()}
+        assert len(newest) == 12 and ("live_positions", "000001", 58, "2024-01-01T00:29:00.000") in newest
